@@ -1,0 +1,4 @@
+"""Queries of the market-data engine and their SQL."""
+
+QUERIES: dict = {}
+ORACLES: dict = {}
