@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, mixing, quality, simhash, toxicity
+from tidemill.llm import bpe, mixing, pq_dedup, quality, rp_forest, simhash, token_files, toxicity, url_filter, warc
 from tidemill.llm.common import text_id_crc
 
 try:  # the vocabulary files are no part of this repository
@@ -31,6 +31,28 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(docs, quality.scorer(spark, model), text_id_crc() % 3 == 1)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark, read(spark, sf_dir, "pages"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.write(spark, read(spark, sf_dir, "pages")))
+
+
+#: A SHA-1 has 40 hexadecimal digits; each five are four digits of base 32.
+OP3_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first FROM p)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(1 + ((CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.plan(spark, read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -77,24 +99,63 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(spark, read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, digests=True)
 
 
+def op6_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pq_dedup.components(spark, read(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+#: All pairs of a label: for small tables.
+OP6_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT *, sqrt(list_dot_product(e, e)) AS n FROM v
+  WHERE e IS NOT NULL AND label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.98),
+reach(node, other) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+c AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node),
+k AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN c ON c.node = v.vec_id LEFT JOIN k ON k.a = v.vec_id
+"""
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = simhash.components(spark, read(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return named.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op8_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.search(spark, read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
     return _classified(docs, toxicity.scorer(spark, model), text_id_crc() % 5 == 0)
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_files.write(spark, read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.digests(token_files.read(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_url_filter": op2_url_filter,
+    "op3_warc": op3_warc,
     "op4_mixing": op4_mixing,
     "op5_bpe": op5_bpe,
+    "op6_pq_dedup": op6_pq_dedup,
     "op7_simhash": op7_simhash,
+    "op8_rp_forest": op8_rp_forest,
     "op9_toxicity": op9_toxicity,
+    "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {"op4_mixing": OP4_SQL}
+ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op4_mixing": OP4_SQL, "op6_pq_dedup": OP6_SQL}
