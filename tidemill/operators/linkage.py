@@ -6,6 +6,7 @@ is the whole frame, which only a bounded target allows; its size is checked."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
 from functools import reduce
 
@@ -72,14 +73,17 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + common * 0.1 * (1 - jaro)
 
 
-@F.pandas_udf("double")
-def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+def _paired(f) -> Callable[[Column, Column], Column]:
+    """A text metric as a column function (made when it is used: it needs a session)."""
 
+    def apply(a: Column, b: Column) -> Column:
+        @F.pandas_udf("double")
+        def metric(x: pd.Series, y: pd.Series) -> pd.Series:
+            return pd.Series([f(i, j) for i, j in zip(x, y, strict=True)], dtype="float64")
 
-@F.pandas_udf("double")
-def _jaro(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([jaro_winkler(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+        return metric(a, b)
+
+    return apply
 
 
 def _edit(a: Column, b: Column) -> Column:
@@ -92,7 +96,7 @@ def _sounds(a: Column, b: Column) -> Column:
 
 
 #: "levenshtein" is the name by which the Ratcliff-Obershelp ratio is asked for.
-SIMILARITIES = {"levenshtein": _ratio, "jaro_winkler": _jaro, "edit": _edit, "soundex": _ratio, "soundex_equal": _sounds}
+SIMILARITIES = {"levenshtein": _paired(ratio), "jaro_winkler": _paired(jaro_winkler), "edit": _edit, "soundex": _paired(ratio), "soundex_equal": _sounds}
 
 
 def _pairs(source: DataFrame, target: DataFrame, on: list[tuple[str, str]], blocking: list[tuple[str, str]], lower: bool = False) -> DataFrame:

@@ -76,7 +76,16 @@ class ParquetStore:
         writer.partitionBy(*spec.partitions).parquet(self.path(table))
 
     def exists(self, table: str, **partitions: str) -> bool:
-        return exists(self.spark, self.path(table)) and (not partitions or bool(self._scan(table).filter(self._where(partitions)).limit(1).count()))
+        if not self._filled(table):
+            return False
+        return not partitions or bool(self._scan(table).filter(self._where(partitions)).limit(1).count())
+
+    def _filled(self, table: str) -> bool:
+        """Whether there is a table, with a file or a partition at least."""
+        if not exists(self.spark, self.path(table)):
+            return False
+        fs, p = _fs(self.spark, self.path(table))
+        return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
     @staticmethod
     def _where(partitions: dict):
@@ -97,8 +106,9 @@ class ParquetStore:
         that a projection can't switch a filter off. A table that isn't there is an
         empty frame."""
         spec = self._spec(query.table)
-        if not exists(self.spark, self.path(query.table)):
-            return self.spark.createDataFrame([], spec.struct)
+        if not self._filled(query.table):
+            empty = self.spark.createDataFrame([], spec.struct).withColumns({k: F.lit(None).cast("string") for k in spec.partitions})
+            return empty.select(*query.columns) if query.columns else empty
         df = self._scan(query.table)
         if query.partitions:
             df = df.filter(self._where(query.partitions))
@@ -122,12 +132,13 @@ class ParquetStore:
         last by ``order`` stays. Touched partitions only are read and written. Not
         atomic across partitions."""
         spec = self._spec(table)
-        if not exists(self.spark, self.path(table)):
+        if not self._filled(table):
             old = None
         else:
             touched = spec.with_partitions(df).select(*spec.partitions).distinct()
             stored = self._scan(table)
-            old = stored.join(F.broadcast(touched), list(spec.partitions), "left_semi") if spec.partitions else stored
+            # As many rows as there are partitions; whether to broadcast is the planner's choice.
+            old = stored.join(touched, list(spec.partitions), "left_semi") if spec.partitions else stored
         merged = self._merge(spec, old, df, order)
         # Rows are read from the partitions that they replace: set them down first.
         aside = f"{self.root}/_staging/{uuid.uuid4().hex}"
