@@ -375,3 +375,24 @@ def test_entry(spark, data):
     q, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(q) and len(q) > 90
     assert q["factors_flagship"](spark, data).count() > 0
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tidemill import cli
+
+    row = ("600000", "2025-01-02", 10.0, 10.5, 9.8, 10.2, 5, 1.0)
+    names = "code string, `日期` string, `开盘` double, `最高` double, `最低` double, `收盘` double, `成交量` bigint, `成交额` double"
+    spark.createDataFrame([row, (row[0], "2025-01-03", *row[2:])], names).write.parquet(f"file://{tmp_path}/landing/akshare")
+    base = ["--data-dir", str(tmp_path / "data"), "--log-dir", str(tmp_path / "logs")]
+    common = ["--asset-type", "stock", "--table", "daily", "--landing", str(tmp_path / "landing")]
+    assert cli.main([*base, "fetch", *common, "--start-date", "2025-01-01", "--end-date", "2025-01-02"], spark) == 0
+    assert cli.main([*base, "update", *common], spark) == 0
+    assert cli.main([*base, "fetch", *common, "--start-date", "2025-02-01", "--end-date", "2025-01-02"], spark) == 1
+    assert cli.main([*base, "status"], spark) == 0
+    store = storage.ParquetStore(spark, f"file://{tmp_path}/data")
+    assert store.read(storage.Query("daily")).count() == 2
+    instruments = spark.createDataFrame([("sh.600519", "Moutai", "1", "1")], "code string, code_name string, type string, status string")
+    instruments.write.parquet(f"file://{tmp_path}/instruments")
+    assert cli.main([*base, "search", "mou", "--instruments", f"file://{tmp_path}/instruments"], spark) == 0
+    out = capsys.readouterr().out
+    assert "success: 1 rows from akshare" in out and "600519.SH  Moutai" in out and "failed" in out
