@@ -396,3 +396,8 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main([*base, "search", "mou", "--instruments", f"file://{tmp_path}/instruments"], spark) == 0
     out = capsys.readouterr().out
     assert "success: 1 rows from akshare" in out and "600519.SH  Moutai" in out and "failed" in out
+
+
+def test_row_numbers_over_several_ranges(spark):
+    df = spark.range(1000, numPartitions=7).select(((F.col("id") * 7919) % 1000).alias("v"))
+    assert all(r._row == r.v for r in linkage.numbered(df, "v").collect())

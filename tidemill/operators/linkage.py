@@ -11,6 +11,7 @@ from difflib import SequenceMatcher
 from functools import reduce
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,8 +20,18 @@ MOST_UNBLOCKED = 20_000
 
 
 def numbered(df: DataFrame, *order: str) -> DataFrame:
-    """Row numbers from 0 in a total order."""
-    return df.withColumn("_row", F.row_number().over(Window.orderBy(*order)).cast("bigint") - 1)
+    """Row numbers from 0 in a total order. Rows are sorted in ranges, one task each;
+    a range's numbers start at the sum of the ranges before it. The sorted frame is
+    persisted, so that both passes see the same ranges."""
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    ranged = ranged.persist(StorageLevel.DISK_ONLY)
+    part = F.shiftright("_at", 33)
+    sizes = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    # One row for each range.
+    out = ranged.join(F.broadcast(starts), part == F.col("_part"))
+    return out.withColumn("_row", F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_at", "_part", "_start")
 
 
 def _text(c: str) -> Column:
