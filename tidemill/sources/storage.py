@@ -70,8 +70,9 @@ class ParquetStore:
         """Replaces the partitions that ``df`` has rows of."""
         spec = self._spec(table)
         rows = spec.with_partitions(df)
-        # A partition's rows go to few tasks, however many partitions there are.
-        rows = rows.repartition(*spec.partitions) if spec.partitions else rows
+        # A partition's rows go to few tasks, and a large partition's to several (adaptive
+        # execution splits what a rebalance deals unevenly).
+        rows = rows.hint("rebalance", *spec.partitions) if spec.partitions else rows
         writer = rows.write.mode(mode).option("compression", self.compression).option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*spec.partitions).parquet(self.path(table))
 
