@@ -166,8 +166,10 @@ def components(spark: SparkSession, vectors: DataFrame, threshold: float = THRES
     plan = written(spark, counted.select(*where, F.ceil(F.col("members") / BLOCK).cast("int").alias("nb"), F.ceil(F.col("queries") / BLOCK).cast("int").alias("mb")), "plan")
     mine = lambda n: F.pmod(F.xxhash64("cid"), F.col(n).cast("bigint")).cast("int")
     other = F.when(F.col("look") == 0, F.col("mb")).otherwise(F.col("nb"))
-    dealt = assigned.join(plan, where).withColumn("own", F.when(F.col("look") == 0, mine("nb")).otherwise(mine("mb")))
-    dealt = dealt.withColumn("facing", F.explode(F.sequence(F.lit(0), other - 1)))
+    # A left join can broadcast its right side only: the planner takes the left one for as
+    # small as the classes, which it exceeds many times.
+    dealt = assigned.join(plan, where, "left").withColumn("own", F.when(F.col("look") == 0, mine("nb")).otherwise(mine("mb")))
+    dealt = dealt.withColumn("facing", F.explode(F.when(other.isNotNull(), F.sequence(F.lit(0), other - 1)).otherwise(F.array().cast("array<int>"))))
     dealt = dealt.withColumns({"i": F.when(F.col("look") == 0, F.col("own")).otherwise(F.col("facing")), "j": F.when(F.col("look") == 0, F.col("facing")).otherwise(F.col("own"))})
     found = dealt.groupBy(*where, "i", "j").applyInPandas(_search(quantiser, threshold), "cid bigint, links bigint, other bigint")
     found = written(spark, found, "links")

@@ -189,7 +189,9 @@ def links(spark: SparkSession, classes: DataFrame) -> DataFrame:
     """(a, b): links between distinct fingerprints that connect whatever is
     linked. ``classes`` has one row for each fingerprint."""
     stored = written(spark, _key_rows(classes, look=False), "stored")
-    looks = _key_rows(classes, look=True)
+    # The planner takes this for as small as `classes`, which has one row for up to 108:
+    # the hint keeps it from being broadcast.
+    looks = _key_rows(classes, look=True).hint("merge")
     dense = stored.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > DENSE)
     dense = written(spark, dense.withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int")), "dense")
     plain = (
