@@ -8,9 +8,9 @@ picks from ordinary windows, so that ordinary words cost the same in either.
 The toxic one also holds the word beginnings that toxic training texts share
 and ordinary ones do not. Windows are runs of whole words of at least
 ``WINDOW`` bytes and cover the whole text. A text's score is a logistic
-function of its largest saving, the mean of its three largest savings, the
-share of windows that save at least 2 bytes and the logarithm of the number
-of windows, fitted on the training rows.
+function of its largest saving, the means of its three largest and of all
+savings, the number of windows, and how many of them pass each of three
+thresholds, fitted on the training rows.
 
 Edge cases: null, empty and blank texts have no window and score 0; without
 labelled rows of both kinds every score is 0. Rows are scored one by one, so
@@ -56,7 +56,7 @@ def windows(text: str | None) -> list[bytes]:
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     settings = zstandard.ZstdCompressionParameters(
-        strategy=zstandard.STRATEGY_LAZY2, min_match=4, window_log=16, hash_log=15, chain_log=15, search_log=5, target_length=16, write_content_size=0, write_dict_id=0
+        strategy=zstandard.STRATEGY_LAZY2, min_match=4, window_log=16, hash_log=15, chain_log=15, search_log=8, target_length=32, write_content_size=0, write_dict_id=0
     )
     data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     data.precompute_compress(compression_params=settings)
@@ -84,7 +84,8 @@ class ToxicityModel:
         if not len(saved):
             return None
         top = -np.sort(-saved)[:3]
-        return np.array([1.0, top[0], top.mean(), (saved >= 2).mean(), np.log(len(saved))])
+        passed = [float((saved >= t).sum()) for t in (1, 2, 3)]
+        return np.array([1.0, top[0], top.mean(), passed[1] / len(saved), np.log(len(saved)), *np.log1p(passed), saved.mean(), float(top[0] >= 3), float(top[0] >= 2)])
 
     def score(self, text: str | None) -> float:
         if self.coefficients is None or (x := self.evidence(text)) is None:
