@@ -7,13 +7,15 @@ inverted list of their nearest coarse centre, as codes of the residual in
 
 Probes are sufficient: a pair at cosine t is at distance r = sqrt(2 - 2t), so the
 other's list c obeys d(x, c)^2 - d(x, c*)^2 <= 2 r |c - c*|, c* being the list of x;
-exactly the lists that do are probed. In a list, asymmetric distances come from
+exactly the lists that do are probed, of two vectors' lists that of lower number only,
+by the vector of the other. In a list, asymmetric distances come from
 tables (query residual to codewords); a member is passed on unless its distance
 less its coding error exceeds r, which loses no pair. What is passed on is
 compared by exact cosine.
 
 Lists are searched in blocks of ``BLOCK`` members and queries. A block returns the
-number of links of each query and a spanning forest of the links, not all pairs.
+numbers of links that it finds for its vectors and a spanning forest of the links,
+not all pairs.
 The quantiser is fitted on at most ``SAMPLE`` classes; every vector is indexed.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite
@@ -93,7 +95,7 @@ def fit(vectors: list, threshold: float = THRESHOLD) -> Quantiser | None:
     return Quantiser(centres, words, cuts, float(np.sqrt(max(0.0, 2 - 2 * threshold))))
 
 
-ASSIGNED = "label {label}, dim int, cell int, look int, cid bigint, m bigint, embedding array<double>, codes binary, error double"
+ASSIGNED = "label {label}, dim int, cell int, look int, home boolean, cid bigint, m bigint, embedding {vector}, codes binary, error double"
 
 
 def _assign(classes: DataFrame, quantiser) -> DataFrame:
@@ -107,8 +109,8 @@ def _assign(classes: DataFrame, quantiser) -> DataFrame:
                 for i in range(0, len(part), 1024):
                     yield _assigned(part.iloc[i : i + 1024], int(dim), q)
 
-    label = classes.schema["label"].dataType.simpleString()
-    return classes.select("label", "cid", "m", "embedding").mapInPandas(run, ASSIGNED.format(label=label))
+    types = {k: classes.schema[c].dataType.simpleString() for k, c in (("label", "label"), ("vector", "embedding"))}
+    return classes.select("label", "cid", "m", "embedding").mapInPandas(run, ASSIGNED.format(**types))
 
 
 def _assigned(part: pd.DataFrame, dim: int, q: Quantiser | None) -> pd.DataFrame:
@@ -120,9 +122,10 @@ def _assigned(part: pd.DataFrame, dim: int, q: Quantiser | None) -> pd.DataFrame
         home, probes = q.lists(x)
         coded, errors = q.code(x, home)
         codes = [c.tobytes() for c in coded]
-    who, cell = np.nonzero(probes)
-    members = pd.DataFrame({"label": part["label"].to_numpy(), "dim": dim, "cell": home, "look": 0, "cid": part["cid"].to_numpy(), "m": part["m"].to_numpy(), "embedding": list(x), "codes": codes, "error": errors})
-    queries = pd.DataFrame({"label": part["label"].to_numpy()[who], "dim": dim, "cell": cell, "look": 1, "cid": part["cid"].to_numpy()[who], "m": 0, "embedding": [x[i] for i in who], "codes": None, "error": 0.0})
+    who, cell = np.nonzero(probes & (np.arange(probes.shape[1])[None, :] <= home[:, None]))
+    label, cid, m, vector = (part[c].to_numpy() for c in ("label", "cid", "m", "embedding"))
+    members = pd.DataFrame({"label": label, "dim": dim, "cell": home, "look": 0, "home": True, "cid": cid, "m": m, "embedding": vector, "codes": codes, "error": errors})
+    queries = pd.DataFrame({"label": label[who], "dim": dim, "cell": cell, "look": 1, "home": cell == home[who], "cid": cid[who], "m": m[who], "embedding": vector[who], "codes": None, "error": 0.0})
     return pd.concat([members, queries], ignore_index=True)
 
 
@@ -131,7 +134,7 @@ def _search(quantiser, threshold: float):
         q, members, queries = quantiser.value, pdf[pdf["look"] == 0], pdf[pdf["look"] == 1]
         if not len(members) or not len(queries):
             return pd.DataFrame({"cid": [], "links": [], "other": []})
-        x, y = stack(queries["embedding"]), stack(members["embedding"])
+        x, y = unit(stack(queries["embedding"])), unit(stack(members["embedding"]))
         a, b = queries["cid"].to_numpy(), members["cid"].to_numpy()
         if len(members["codes"].iloc[0]):
             codes = np.frombuffer(b"".join(members["codes"]), np.uint8).reshape(len(y), -1)
@@ -141,11 +144,13 @@ def _search(quantiser, threshold: float):
         near &= a[:, None] != b[None, :]
         i, j = np.nonzero(near)
         near[i, j] = (x[i] * y[j]).sum(axis=1) >= threshold
-        links = near @ members["m"].to_numpy()
+        # Two vectors of one list meet in both roles, others once: these count for both.
+        guest = ~queries["home"].to_numpy()
+        links = np.concatenate([near @ members["m"].to_numpy(), near[guest].T @ queries["m"].to_numpy()[guest]])
+        counted, both = links > 0, np.concatenate([a, b])
         edges = forest(a, b, near)
-        counted = links > 0
         return pd.DataFrame(
-            {"cid": np.concatenate([a[counted], [e[0] for e in edges]]), "links": np.concatenate([links[counted], np.zeros(len(edges))]), "other": [None] * int(counted.sum()) + [e[1] for e in edges]}
+            {"cid": np.concatenate([both[counted], [e[0] for e in edges]]), "links": np.concatenate([links[counted], np.zeros(len(edges))]), "other": [None] * int(counted.sum()) + [e[1] for e in edges]}
         ).astype({"cid": "int64", "links": "int64", "other": "Int64"})
 
     return run
