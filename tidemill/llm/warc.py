@@ -237,7 +237,9 @@ def read(index: DataFrame) -> DataFrame:
                         columns = list(zip(*rows, strict=True))
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _READ.types, strict=True)], schema=_READ)
 
-    bundles = index.select("bundle").distinct()
+    # A number of partitions that adaptive execution keeps: bundles are few rows but much to read.
+    parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bundles = index.select("bundle").distinct().repartition(parts)
     return bundles.mapInArrow(run, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
 
 
