@@ -185,13 +185,17 @@ def _block_links(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([(x, y) for x, y in out if x != y], columns=["a", "b"], dtype="int64")
 
 
-def links(spark: SparkSession, classes: DataFrame) -> DataFrame:
+def links(spark: SparkSession, classes: DataFrame, made: list[DataFrame] | None = None) -> DataFrame:
     """(a, b): links between distinct fingerprints that connect whatever is
-    linked. ``classes`` has one row for each fingerprint."""
+    linked. ``classes`` has one row for each fingerprint. ``made`` gets the written
+    tables that the result reads, which can go when it has been read."""
     stored = written(spark, _key_rows(classes, look=False), "stored")
-    # The planner takes this for as small as `classes`, which has one row for up to 108:
-    # the hint keeps it from being broadcast.
-    looks = _key_rows(classes, look=True).hint("merge")
+    # Made once, though up to three joins read it. Its file is small for its rows: the
+    # hint keeps it from being broadcast.
+    looks = written(spark, _key_rows(classes, look=True), "looks")
+    if made is not None:
+        made += [stored, looks]
+    looks = looks.hint("merge")
     dense = stored.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > DENSE)
     dense = written(spark, dense.withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int")), "dense")
     plain = (
@@ -218,12 +222,13 @@ def components(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, see
     """(doc_id, fp, component_id), a row for each document."""
     fps = written(spark, fingerprints(docs, shingle, seed), "fps")
     classes = written(spark, fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
-    roots = connected_components(spark, links(spark, classes))
+    made: list[DataFrame] = []
+    roots = connected_components(spark, links(spark, classes, made))
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     rooted = written(spark, rooted, "rooted")
     smallest = written(spark, rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "smallest")
     named = written(spark, rooted.join(smallest, "root").select("fp", "component_id"), "named")
-    for t in (rooted, smallest, roots, classes):
+    for t in (rooted, smallest, roots, classes, *made):
         remove(spark, t)
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
