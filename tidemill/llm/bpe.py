@@ -14,7 +14,8 @@ Two forms of the fold:
   :func:`encode` uses it for the words that a bounded sample of documents shows
   to be the most frequent (``FREQUENT``): these cover most of any text.
 * Words outside that table are folded in the Python worker that meets them, once
-  each while they stay in a cache of ``CACHE_WORDS`` words.
+  each while they stay in a cache of ``CACHE_WORDS`` words (and of
+  ``CACHE_CHUNKS`` runs of words), which bounds the worker's memory.
 
 The table of frequent words is a cache: which words it holds doesn't change any
 result. Documents are encoded where they are read, without a shuffle.
@@ -42,7 +43,8 @@ from tidemill.llm.common import remove, written
 #: Most words that the table of frequent words holds, and documents of the sample.
 FREQUENT = 40_000
 SAMPLE_DOCS = 2_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
+CACHE_CHUNKS = 150_000
 ABSENT = 1 << 30
 
 
@@ -123,7 +125,9 @@ def encode_words(spark: SparkSession, words: DataFrame, ranks: dict[bytes, int])
     table = pair_table(ranks)
     types = "k int, shift array<bigint>, key array<bigint>, value array<bigint>, byte array<bigint>"
     row = spark.createDataFrame([(0, table["shift"], table["key"], table["value"], table["byte"])], types)
-    many = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(64)).cast("int").alias("part")).agg(F.collect_set("word").alias("words")).withColumn("k", F.lit(0))
+    many = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(64)).cast("int").alias("part")).agg(F.collect_set("word").alias("words"))
+    # Few rows but much to compute: a number of partitions that adaptive execution keeps.
+    many = many.repartition(16).withColumn("k", F.col("part") - F.col("part"))
     fold = fold_sql("w", len(table["shift"]), len(table["key"]))
     coded = many.join(F.broadcast(row), "k").select(F.expr(f"transform(words, w -> struct(w as word, {fold} as ids))").alias("coded"))
     return coded.select(F.inline("coded"))
@@ -157,7 +161,7 @@ class Recent(dict):
     """A cache of two generations: when the young one is full it becomes the old
     one, from which what is still in use is taken over."""
 
-    def __init__(self, make, limit: int = CACHE_WORDS):
+    def __init__(self, make, limit: int):
         self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
@@ -185,13 +189,13 @@ class Coder:
             ids = known.get(raw)
             return fold(raw, ranks) if ids is None else ids
 
-        words = Recent(word_ids)
+        words = Recent(word_ids, CACHE_WORDS)
 
         def chunk(text: str) -> tuple[bytes, bytes]:
             ids = [i for w in find(text) for i in words[w]]
             return ",".join(map(str, ids)).encode(), decode(ids, pieces)
 
-        self.chunks = Recent(chunk)
+        self.chunks = Recent(chunk, CACHE_CHUNKS)
 
     def decimals(self, text: str | None) -> tuple[bytes, bytes]:
         """The decimal ids of a whole text, joined by commas, and the bytes that

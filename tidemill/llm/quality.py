@@ -33,7 +33,7 @@ SCALE = 12.0
 #: Most labelled rows that training reads, and the longest text among them.
 SAMPLE_ROWS = 4000
 SAMPLE_CHARS = 20_000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 _PARTS = re.compile(r"^([\W_]*)(.*?)([\W_]*)$", re.DOTALL)
 _SAME = zlib.crc32(b"\x00same")
