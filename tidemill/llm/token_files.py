@@ -10,8 +10,9 @@ the metadata columns alone.
 Documents are dealt out by ranges of their id, sorted within a range and encoded
 where they land; the number of the range is a column, so that starts come from
 one sum for each range. A text is cut before single spaces between two
-characters that aren't white space, where byte-level pre-tokenizers cut too; the
-library encodes each distinct chunk once while it stays in a worker's cache.
+characters that aren't white space, where byte-level pre-tokenizers cut too, and
+the chunks into words by the byte-level pattern; the library's model encodes each
+distinct word, once while it stays in a worker's cache.
 
 Edge cases: a null text is empty (the end id alone); null ids come first; rows
 that share an id are ordered by their text. Extra columns are never read.
@@ -19,57 +20,83 @@ that share an id are ordered by their text. Extra columns are never read.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemill.llm.bpe import Recent, chunks
+from tidemill.llm.bpe import _SAFE, Recent
 from tidemill.llm.common import new_path
 
 ROW_GROUP = 32 << 20
 PAGE = 256 << 10
 CACHE_CHUNKS = 400_000
-MISSES = 512
+CACHE_WORDS = 150_000
+
+_CLOSE = re.compile(r"\s | \s")
+#: Letters, and one mark at most after them: two words by any reading of the pattern.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
 
 _tokenizers: dict = {}
 
 
+# The pattern that cuts text into words before byte-level merges.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable Latin-1
+    characters for themselves, the other bytes in order from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
+
+
 class ChunkEncoder:
-    """A text's ids, by the tokenizers library, chunk by chunk."""
+    """A text's ids, by the tokenizers library's model. A text is cut before single
+    spaces, each distinct chunk into words, and the model encodes each distinct word,
+    once while it is cached. Files of other kinds are encoded whole."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings are ordinary text
-        # Unless the file says byte level without a leading space of its own,
-        # texts are encoded whole.
         steps = str(self.library.pre_tokenizer)
-        self.by_chunk = steps.startswith("ByteLevel(add_prefix_space=False") and self.library.normalizer is None
-        self.cache = Recent(self._one, CACHE_CHUNKS)
+        self.by_chunk = steps.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in steps and self.library.normalizer is None
+        letters, find, model = byte_letters(), regex.compile(PATTERN).findall, self.library.model
+
+        def word_ids(word: str) -> bytes:
+            mapped = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters)
+            return struct.pack(f"<{len(ids)}I", *ids) if (ids := [t.id for t in model.tokenize(mapped)]) else b""
+
+        words = Recent(word_ids, CACHE_WORDS)
 
-    def _one(self, chunk: str) -> bytes:
-        return self._bytes(self.library.encode_batch_fast([chunk], add_special_tokens=False)[0])
+        def spaced(chunk: str) -> bytes:
+            if plain := _PLAIN(chunk):
+                return words[" " + plain[1]] + words[plain[2]] if plain[2] else words[" " + chunk]
+            return self.chunk(" " + chunk)
 
-    @staticmethod
-    def _bytes(encoding) -> bytes:
-        return np.array(encoding.ids, dtype="<u4").tobytes()
+        self.chunk = lambda chunk: b"".join(map(words.__getitem__, find(chunk)))
+        #: By the chunk without the space before it.
+        self.spaced = Recent(spaced, CACHE_CHUNKS)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [chunks(t) if self.by_chunk else [t] for t in (t or "" for t in texts)]
-        cache = self.cache
-        missing = list({c for parts in cut for c in parts if c not in cache and c not in cache.old})
-        for i in range(0, len(missing), MISSES):
-            part = missing[i : i + MISSES]
-            fresh = dict(zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True))
-            for c, e in fresh.items():
-                if len(cache) < cache.limit:
-                    cache[c] = self._bytes(e)
-        return [b"".join(map(cache.__getitem__, parts)) for parts in cut]
+        return [self._encode(t) if t else b"" for t in texts]
+
+    def _encode(self, text: str) -> bytes:
+        if not self.by_chunk:
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        parts = text.split(" ")
+        if not (parts[0] and parts[-1]) or _CLOSE.search(text):
+            parts = _SAFE.split(text)
+        return self.chunk(parts[0]) + b"".join(map(self.spaced.__getitem__, parts[1:]))
 
 
 def _encoder(path: str) -> ChunkEncoder:
