@@ -401,3 +401,31 @@ def test_command_line(spark, tmp_path, capsys):
 def test_row_numbers_over_several_ranges(spark):
     df = spark.range(1000, numPartitions=7).select(((F.col("id") * 7919) % 1000).alias("v"))
     assert all(r._row == r.v for r in linkage.numbered(df, "v").collect())
+
+
+# --- whole tables in the queries --------------------------------------------------------
+
+
+@pytest.fixture
+def all_bars(spark, data):
+    from tidemill.plans import views
+
+    return {(r.code, r.trade_date): r.close for r in views.bars(spark, data).collect()}
+
+
+def test_conflicts_and_report_are_of_all_years(spark, data, all_bars):
+    from tidemill.queries import QUERIES
+
+    # Prices of source_b that differ: shifted on days 7, 14, 21 and 28, or null on day 5.
+    kept = {(c, t) for c, t in all_bars if int(c) % 10 and int(c) % 23}
+    want = {f"{c}|{t}" for c, t in kept if (t.day % 7 == 0 and int(c) % 4) or (t.day == 5 and int(c) % 3 == 0)}
+    got = [r.key for r in QUERIES["r1_priority"](spark, data).collect()]
+    assert len({k[-10:-6] for k in want}) > 1
+    assert len(got) == len(want) and set(got) == want
+    shifted = {(c, t) for c, t in kept if t.day == 8}
+    named = {(c, t) for c, t in kept if int(c) % 6 == 0}
+    gone = [(c, t) for c, t in all_bars if int(c) % 10 == 0 or int(c) % 23 == 0]
+    added = [(c, t) for c, t in all_bars if int(c) % 10 and int(c) % 23 == 0]
+    found = len(want) + len(shifted) + len(named) + len(gone) + len(added)
+    rows = len(all_bars) + sum(1 for c, _ in all_bars if int(c) % 10)
+    assert QUERIES["r6_report"](spark, data).first().diff_rate == pytest.approx(found / rows, abs=1e-4)

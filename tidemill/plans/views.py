@@ -133,13 +133,19 @@ def dirty(spark: SparkSession, d: str) -> DataFrame:
     return b.union(b.filter(day() == 11))
 
 
-def source_a(spark: SparkSession, d: str) -> DataFrame:
-    return bars(spark, d).filter(F.year("trade_date") == 1995).select("code", "trade_date", "close", "volume", F.concat(F.lit(" Co "), "code").alias("name"))
+def _of_year(rows: DataFrame, year: int | None) -> DataFrame:
+    """``rows`` of a year, or all for None."""
+    return rows if year is None else rows.filter(F.year("trade_date") == year)
 
 
-def source_b(spark: SparkSession, d: str) -> DataFrame:
+def source_a(spark: SparkSession, d: str, year: int | None = 1995) -> DataFrame:
+    """All bars for year None; 1995 is the cut that ``SQL`` has."""
+    return _of_year(bars(spark, d), year).select("code", "trade_date", "close", "volume", F.concat(F.lit(" Co "), "code").alias("name"))
+
+
+def source_b(spark: SparkSession, d: str, year: int | None = 1995) -> DataFrame:
     """A disturbed copy: codes gone and added, prices shifted, names in other case."""
-    a = bars(spark, d).filter(F.year("trade_date") == 1995)
+    a = _of_year(bars(spark, d), year)
     n = code_number()
     kept = a.filter(n % 10 != 0).select(
         F.when(n % 23 == 0, F.concat(F.lit("x"), F.col("code"))).otherwise(F.col("code")).alias("code"),

@@ -191,8 +191,8 @@ diffs AS (
 """
 
 
-def _diffs(spark, d):
-    return diffs.field_diff(views.source_a(spark, d), views.source_b(spark, d), KEYS)
+def _diffs(spark, d, year=1995):
+    return diffs.field_diff(views.source_a(spark, d, year), views.source_b(spark, d, year), KEYS)
 
 
 @query("d3_field_diff", with_views("source_a source_b", _FIELD + f'SELECT diff_type, severity, {_KEY} AS key, "column" FROM diffs'))
@@ -234,8 +234,8 @@ def at_least_high(spark, d):
 # --- resolution -------------------------------------------------------------------------
 
 
-def _conflicts(spark, d):
-    c = _diffs(spark, d).filter("column = 'close'")
+def _conflicts(spark, d, year=1995):
+    c = _diffs(spark, d, year).filter("column = 'close'")
     n = F.crc32("key")
     return c.select(
         "key", "column", "source_value", "target_value", F.when(n % 3 == 0, "akshare").otherwise("tushare").alias("source"), F.when(n % 2 == 0, "baostock").otherwise("other").alias("target"),
@@ -245,7 +245,7 @@ def _conflicts(spark, d):
 
 @query("r1_priority")
 def by_priority(spark, d):
-    return resolve.priority(_conflicts(spark, d), {"akshare": 1, "baostock": 2, "tushare": 3}).select("key", "resolved_value", "resolution_method", "confidence")
+    return resolve.priority(_conflicts(spark, d, None), {"akshare": 1, "baostock": 2, "tushare": 3}).select("key", "resolved_value", "resolution_method", "confidence")
 
 
 @query(
@@ -314,8 +314,8 @@ def resolution_counts(spark, d):
 
 @query("r6_report")
 def quality_report(spark, d):
-    a, b = views.source_a(spark, d), views.source_b(spark, d)
-    found = _diffs(spark, d).unionByName(diffs.row_diff(a, b, KEYS))
+    a, b = views.source_a(spark, d, None), views.source_b(spark, d, None)
+    found = _diffs(spark, d, None).unionByName(diffs.row_diff(a, b, KEYS))
     summary = diffs.summarize(found, a.count(), b.count())
     resolved = report.ResolutionSummary(summary.value, summary.value, {"priority": summary.value})
     made = report.report("a", "b", summary, resolved)
