@@ -429,3 +429,16 @@ def test_conflicts_and_report_are_of_all_years(spark, data, all_bars):
     found = len(want) + len(shifted) + len(named) + len(gone) + len(added)
     rows = len(all_bars) + sum(1 for c, _ in all_bars if int(c) % 10)
     assert QUERIES["r6_report"](spark, data).first().diff_rate == pytest.approx(found / rows, abs=1e-4)
+
+
+@pytest.mark.parametrize("name, extra", [("p2_partition_read", 0), ("p3_upsert", 1), ("st_stream_upsert", 0)])
+def test_stores_hold_all_years(spark, data, all_bars, tmp_path, monkeypatch, name, extra):
+    from tidemill.queries import QUERIES, sources
+
+    monkeypatch.setattr(sources, "_folder", lambda _: str(tmp_path))
+    assert QUERIES[name](spark, data).count()
+    root = tmp_path / "store" if name == "st_stream_upsert" else tmp_path
+    stored = storage.ParquetStore(spark, str(root)).read(storage.Query("daily")).collect()
+    assert len(stored) == len(all_bars) + extra
+    changed = lambda r: name == "p3_upsert" and (r.trade_date.year, r.trade_date.month) == (1996, 3) and r.code < "000005"
+    assert all(r.close == all_bars[r.code, r.trade_date] + changed(r) for r in stored if r.code != "new")

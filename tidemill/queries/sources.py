@@ -213,7 +213,7 @@ def write_read(spark, d):
 @query("p2_partition_read", with_views("bars", "SELECT code, trade_date, volume, '1996' AS year, '03' AS month FROM bars WHERE year(trade_date) = 1996 AND month(trade_date) = 3"))
 def partition_read(spark, d):
     store = storage.ParquetStore(spark, _folder(spark))
-    store.write("daily", _daily(spark, d, "year(trade_date) = 1996"))
+    store.write("daily", _daily(spark, d))
     return store.read(storage.Query("daily", partitions={"year": "1996", "month": "03"})).select("code", "trade_date", "volume", "year", "month")
 
 
@@ -223,21 +223,21 @@ def partition_read(spark, d):
 )
 def upsert(spark, d):
     store = storage.ParquetStore(spark, _folder(spark))
-    store.write("daily", _daily(spark, d, "year(trade_date) = 1996"))
+    store.write("daily", _daily(spark, d))
     changed = _daily(spark, d, "year(trade_date) = 1996 and month(trade_date) = 3 and code < '000005'").withColumn("close", F.col("close") + 1)
     new = changed.limit(1).withColumns({"code": F.lit("new"), "trade_date": F.lit(date(1996, 3, 5)), "close": F.lit(1.0)})
     store.upsert("daily", changed.unionByName(new))
-    return store.read(storage.Query("daily")).select("code", "trade_date", "close")
+    return store.read(storage.Query("daily", partitions={"year": "1996"})).select("code", "trade_date", "close")
 
 
 @query("st_stream_upsert", with_views("bars", "SELECT code, trade_date, close FROM bars WHERE year(trade_date) = 1995"))
 def stream_upsert(spark, d):
     root = _folder(spark)
     store = storage.ParquetStore(spark, f"{root}/store")
-    rows = _daily(spark, d, "year(trade_date) = 1995")
+    rows = _daily(spark, d)
     rows.write.parquet(f"{root}/landing")
     stream_upserts(spark, store, "daily", f"{root}/landing", f"{root}/checkpoint").awaitTermination()
-    return store.read(storage.Query("daily")).select("code", "trade_date", "close")
+    return store.read(storage.Query("daily", partitions={"year": "1995"})).select("code", "trade_date", "close")
 
 
 _MOMENTUM = "f AS (SELECT code, trade_date, round(close / nullif(lag(close, 5) OVER (PARTITION BY code ORDER BY trade_date), 0) - 1, 6) AS momentum_5d FROM bars)"
