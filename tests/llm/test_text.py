@@ -104,6 +104,15 @@ def test_dense_clusters_are_searched_in_blocks(spark, monkeypatch):
     assert together([roots.get(s, s) for s in signed]) == together(brute)
 
 
+def test_components_of_a_long_chain_in_random_order(spark):
+    from tidemill.llm.common import connected_components
+
+    ids = np.random.default_rng(9).permutation(1000).tolist()
+    edges = spark.createDataFrame([*zip(ids, ids[1:], strict=False), (5001, 5000), (5002, 5001)], "a bigint, b bigint")
+    got = {r.node: r.root for r in connected_components(spark, edges).collect()}
+    assert got == dict.fromkeys(ids, 0) | dict.fromkeys((5000, 5001, 5002), 5000)
+
+
 def test_simhash_odd_rows(spark, docs, odd):
     rows = simhash.components(spark, docs(odd)).collect()
     assert len(rows) == len(odd)
