@@ -107,6 +107,19 @@ def test_forest_of_small_tables_is_exhaustive(spark):
         assert [s for _, _, s in found] == pytest.approx([-s for s, _ in want[q]], rel=1e-14)
 
 
+def test_forest_counts_repeated_rows_once(spark):
+    rows = [(i, v) for i, v, _ in _vectors(120)[:100]]
+    twice = rows * 2
+    q = np.array(rows[0][1])
+    nearest = max((r for r in rows if r[0] != rows[0][0]), key=lambda r: np.array(r[1]) @ q)
+    for table in (twice, [*rows, *[nearest] * 30], [*rows, *[(nearest[0], [0.5 * c for c in nearest[1]])] * 30]):
+        df = spark.createDataFrame([(i, v, 0) for i, v in table], VEC)
+        found = rp_forest.search(spark, df, F.col("vec_id") == rows[0][0]).orderBy("rank").collect()
+        want = sorted((-(np.array(v) * q).sum(), i) for i, v in rows if i != rows[0][0])[:20]
+        assert [r.vec_id for r in found] == [i for _, i in want]
+        assert [r.score for r in found] == pytest.approx([-s for s, _ in want], rel=1e-14)
+
+
 def test_forest_recall_and_few_candidates(spark):
     rng = np.random.default_rng(8)
     x = rng.normal(size=(3000, 16)).astype(np.float32)

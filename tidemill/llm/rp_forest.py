@@ -162,12 +162,18 @@ def _best(k: int):
             x = stack(queries["embedding"])
             near = x @ y.T
             near[queries["vec_id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
+            # Rows that share an id take one place, that of the nearest.
+            order = np.argsort(ids, kind="stable")
+            first = np.flatnonzero(np.diff(ids[order], prepend=ids[order[0]] - 1))
+            top = near if len(first) == len(ids) else np.maximum.reduceat(near[:, order], first, axis=1)
             # The products of a matrix differ in their last digits: a little more passes.
-            floor = np.partition(near, -k, axis=1)[:, -k] - SLACK if len(ids) > k else np.full(len(x), -np.inf)
+            floor = np.partition(top, -k, axis=1)[:, -k] - SLACK if len(first) > k else np.full(len(x), -np.inf)
             for r, q in enumerate(queries["vec_id"].to_numpy()):
                 j = np.flatnonzero((near[r] >= floor[r]) & (near[r] > -np.inf))
                 exact = (y[j] * x[r]).sum(axis=1)
-                j, exact = (a[np.lexsort((ids[j], -exact))[:k]] for a in (j, exact))
+                by = np.lexsort((ids[j], -exact))
+                by = by[np.sort(np.unique(ids[j[by]], return_index=True)[1])[:k]]
+                j, exact = j[by], exact[by]
                 out.append(pd.DataFrame({"query_id": q, "vec_id": ids[j], "score": exact}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
