@@ -128,3 +128,9 @@ def test_url_model_tells_hosts_apart(spark, data):
     fitted = url_filter.train([r for i, r in enumerate(url_filter.labelled_urls()) if i % 5])
     assert np.mean([(fitted.score(h, p) >= 0.5) == bool(y) for h, p, y in held]) > 0.9
     assert queries.QUERIES["op2_url_filter"](spark, data).count() == queries.read(spark, data, "pages").count()
+
+
+def test_wanted_hosts_are_not_those_of_the_test_pages(spark, data):
+    pages = queries.read(spark, data.replace("sf0.001", "sf0.1"), "pages").select(url_filter.host_of().alias("host")).distinct()
+    labels = {part for r in pages.collect() for part in r.host.split(".")}
+    assert not labels & set(url_filter.WANTED_HOSTS)

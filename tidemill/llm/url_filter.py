@@ -44,8 +44,8 @@ UNWANTED_HOSTS = (
 WANTED_HOSTS = (
     "news", "library", "garden", "science", "museum", "weather", "cooking", "history", "school", "travel",
     "music", "kitchen", "river", "mountain", "forum", "docs", "help", "archive", "city", "village",
-    "thethe", "thother", "inthere", "andthing", "ondern", "sternen", "ration", "mentire", "quelle", "losada",
-    "ththan", "ererin", "tionth", "ndthre", "hering", "edster",
+    "recipes", "stories", "theatre", "nature", "bakery", "painting", "cycling", "hospital", "university", "bookshop",
+    "gallery", "astronomy", "parish", "railway", "orchestra", "heritage",
 )
 DOMAINS = ("example.com", "example.org", "example.net", "test")
 PREFIXES = ("", "www.", "blog.", "m.")
