@@ -203,3 +203,26 @@ def test_warc_sql(spark, data):
     rel = db.sql(queries.OP3_SQL)
     rows = queries.QUERIES["op3_warc"](spark, data).collect()
     assert sorted(map(str, (tuple(r[c] for c in rel.columns) for r in rows))) == sorted(map(str, rel.fetchall()))
+
+
+@pytest.mark.parametrize("scheme", ["{}", "file:{}", "file://{}"])
+def test_warc_query_makes_its_folder_by_any_kind_of_path(spark, data, tmp_path, scheme, monkeypatch):
+    from tidemill.llm import common
+
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW pages AS SELECT * FROM '{data}/pages.parquet'")
+    rel = db.sql(queries.OP3_SQL)
+    monkeypatch.setattr(common, "_configured", lambda _: scheme.format(tmp_path / "new"))
+    rows = queries.QUERIES["op3_warc"](spark, data).collect()
+    assert sorted(map(str, (tuple(r[c] for c in rel.columns) for r in rows))) == sorted(map(str, rel.fetchall()))
+    assert list(tmp_path.rglob("*.warc.zst"))
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from tidemill.llm.common import shared_dir
+
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
+        shared_dir(bare)

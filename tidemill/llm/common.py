@@ -4,10 +4,19 @@ and connected components."""
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
+import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,20 +24,45 @@ _own_dir: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
+    """The folder that driver and executors share, as a full URI.
 
-    ``spark.checkpoint.dir`` names it on a cluster. Only where neither that
-    setting nor a checkpoint directory exists (single-machine tests) a
-    temporary folder is made, which goes with the process.
+    ``spark.checkpoint.dir`` names it on a cluster; a bare path is one of the
+    default file system. Only a session whose master is local and that has neither
+    that setting nor a checkpoint directory (single-machine tests) gets a temporary
+    folder, which goes with the process; any other session without one is an error.
     """
     global _own_dir
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if path:
-        return path.rstrip("/")
-    if _own_dir is None:
-        _own_dir = tempfile.mkdtemp(prefix="tidemill-")
-        atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)
-    return f"file://{_own_dir}"
+    path = _configured(spark)
+    if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if _own_dir is None:
+            _own_dir = tempfile.mkdtemp(prefix="tidemill-")
+            atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)
+        path = f"file://{_own_dir}"
+    return qualified(spark, path.rstrip("/"))
+
+
+def _configured(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) by Hadoop, which knows every scheme that Spark reads."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme; local ones as ``file:///x``."""
+    fs, hadoop = _hadoop(spark, path)
+    uri = fs.makeQualified(hadoop).toString()
+    return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _hadoop(spark, path)
+    fs.mkdirs(hadoop)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -50,8 +84,42 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 def remove(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files of a table made by :func:`written`."""
     for file in df.inputFiles()[:1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        fs, path = _hadoop(spark, file)
+        fs.delete(path.getParent(), True)
+
+
+#: What a Python worker keeps between tasks: one thing, so that the next stage's
+#: replaces it.
+_held: list = [None, None]
+
+
+def held(key: tuple, make: Callable[[], Any]) -> Any:
+    """``make()``, kept in this worker until something else is held. Models and
+    caches of stages that run one after the other don't add up in reused workers."""
+    if _held[0] != key:
+        _held[:] = None, None
+        _trim()
+        _held[:] = key, make()
+    return _held[1]
+
+
+def _trim() -> None:
+    """Give freed memory back to the system, where its C library can."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(batch: pa.RecordBatch, column: int, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of at most ``rows`` rows, and of at most ``size`` bytes in
+    a column of text where a row alone isn't longer."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())).to_numpy(zero_copy_only=False)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + size, side="right"))))
+        yield batch.slice(at, to - at)
+        at = to
 
 
 def text_id_crc(column: str = "doc_id"):

@@ -15,8 +15,8 @@ Each task writes its bundle under a name of its own, first as a hidden file that
 is renamed when it is complete, and returns what it wrote, so that a lost or
 repeated task leaves at most an orphan file that no index names. One frame is
 held in memory. Duplicates are found from digests; the pages themselves are
-dealt out once, by digest and salt, so that a payload which a third of all pages
-share doesn't meet in one task.
+dealt out once, by digest, and meet one row for each payload that occurs again,
+so that a payload which a third of all pages share can be split among tasks.
 
 Edge cases: a null html is an empty payload; a null page id is written as
 "null", counts as larger than any other and, where every equal payload has a
@@ -39,12 +39,11 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import new_path, written
+from tidemill.llm.common import make_folder, new_path, qualified, written
 
 FRAME = 1 << 20
 BUNDLE = 256 << 20
 LEVEL = 6
-SALTS = 64
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 INDEX = "page_id bigint, bundle string, frame int, frame_start bigint, frame_bytes bigint, offset bigint, length bigint, record_type string"
 _DATE = "2024-01-01T00:00:00Z"
@@ -126,12 +125,7 @@ def seek_table(file) -> list[tuple[int, int, int]]:
 
 
 def _open(uri: str):
-    return pyarrow.fs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
-
-
-def _uri(path: str) -> str:
-    """file:/x, as Hadoop writes it, as file:///x."""
-    return "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
+    return pyarrow.fs.FileSystem.from_uri(uri)
 
 
 def decide(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -140,22 +134,23 @@ def decide(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFra
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     keyed = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", payload.alias("payload"), F.sha1(payload).alias("key"))
     counted = keyed.filter(F.octet_length("payload") >= min_bytes).groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    # Only payloads that occur again have something to refer to. A row for each salt.
-    again = counted.filter("n > 1 and first is not null").select("key", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    again = written(spark, again, "again")
-    salted = keyed.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    return salted.join(again, ["key", "salt"], "left").select("page_id", "url", "payload", "first")
+    # Only payloads that occur again have something to refer to. A payload that a
+    # third of all pages share is split by adaptive execution: the written side has
+    # one row for it.
+    again = written(spark, counted.filter("n > 1 and first is not null").select("key", "first"), "again")
+    return keyed.join(again, "key", "left").select("page_id", "url", "payload", "first")
 
 
 def write(spark: SparkSession, pages: DataFrame, folder: str | None = None, min_bytes: int = 0) -> DataFrame:
     """Writes one record for each page and returns the index (a written table,
     columns ``INDEX``)."""
-    folder = _uri(folder or new_path(spark, "warc"))
-    if folder.startswith("file:"):
-        _open(folder)[0].create_dir(_open(folder)[1], recursive=True)
+    folder = qualified(spark, folder or new_path(spark, "warc"))
+    make_folder(spark, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = _open(folder)
+        # Also here: a file system whose folders are a machine's own view of a store.
+        fs.create_dir(base, recursive=True)
         state = None
 
         def start():
