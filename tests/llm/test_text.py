@@ -64,9 +64,9 @@ def test_keys_meet_whenever_three_bits_differ():
     for i in range(len(a)):
         for bit in rng.choice(64, rng.integers(0, 4), replace=False):
             b[i] ^= np.uint64(1) << np.uint64(bit)
-    stored, _ = simhash.keys(a)
-    _, (every, mask) = simhash.keys(b)
-    assert all(set(s.tolist()) & set(e[m].tolist()) for s, e, m in zip(stored, every, mask, strict=True))
+    (stored, kept), (every, mask) = simhash.keys(a)[0], simhash.keys(b)[1]
+    assert all(set(s[k].tolist()) & set(e[m].tolist()) for s, k, e, m in zip(stored, kept, every, mask, strict=True))
+    assert kept.sum(axis=1).mean() < 12 and mask.sum(axis=1).mean() < 65
 
 
 def test_fingerprints_and_components_match_brute_force(spark, docs, data):
@@ -104,6 +104,38 @@ def test_dense_clusters_are_searched_in_blocks(spark, monkeypatch):
     assert together([roots.get(s, s) for s in signed]) == together(brute)
 
 
+def test_thousands_of_near_fingerprints_under_one_key(spark):
+    """A cluster whose members share two segments, so that they meet under the same
+    keys, in several blocks; and a chain that leads out of it."""
+    rng = np.random.default_rng(6)
+    centre = 0x5A5A5_00000_00000A
+    low = [0, *(1 << i for i in range(21)), *(1 << i | 1 << j for i in range(21) for j in range(i)), *(1 << i | 1 << j | 1 << k for i in range(21) for j in range(i) for k in range(j))]
+    fps = {centre ^ x for x in low} | {centre ^ (x << 21) for x in low}
+    chain = centre
+    for _ in range(30):
+        chain ^= sum(1 << int(b) for b in rng.choice(64, 3, replace=False))
+        fps.add(chain)
+    fps |= {int(x) for x in rng.integers(0, 1 << 62, 200)}
+    assert len(fps) > 3000
+    signed = [f - (1 << 64) if f >= 1 << 63 else f for f in sorted(fps)]
+    found = simhash.links(spark, spark.createDataFrame([(f,) for f in signed], "fp bigint"))
+    from tidemill.llm.common import connected_components, written
+
+    found = written(spark, found, "found")
+    assert found.count() < 100 * len(fps)  # forests under some 70 keys, not pairs
+    roots = {r.node: r.root for r in connected_components(spark, found).collect()}
+    x = np.array(sorted(fps), dtype=np.uint64)
+    root = np.arange(len(x))
+    while True:  # brute force over all pairs
+        lower = np.array([root[np.bitwise_count(x ^ f) <= 3].min() for f in x])
+        lower = lower[lower]
+        if (lower == root).all():
+            break
+        root = lower
+    together = lambda keys: {frozenset(i for i, k in enumerate(keys) if k == v) for v in set(keys)}
+    assert together([roots.get(s, s) for s in signed]) == together(root.tolist())
+
+
 def test_components_of_a_long_chain_in_random_order(spark):
     from tidemill.llm.common import connected_components
 
@@ -123,9 +155,29 @@ def test_simhash_odd_rows(spark, docs, odd):
     assert [r.component_id for r in nulls] == [None, None]
 
 
+def _one_of_each_group(rows, kept):
+    """Of each group of ``rows`` (doc_id, text) one is kept, and it has the smallest id
+    of the group, nulls last."""
+    groups: dict = {}
+    for row, root in zip(rows, _roots([_fingerprint(t) for _, t in rows]), strict=True):
+        groups.setdefault(root, []).append(row)
+    by_id = lambda r: (r[0] is None, r[0] or 0)
+    for group in groups.values():
+        mine = [r for r in kept if r in group]
+        assert len(mine) == 1 and by_id(mine[0]) == min(map(by_id, group))
+    assert len(kept) == len(groups)
+
+
+def test_keep_one_loses_no_text_and_keeps_no_copy(spark, docs, odd):
+    a, b = "one two three four five six", "quite other words stand in here"
+    for rows in ([(1, a), (4, a), (4, b)], [(4, a), (4, b), (4, b), (None, a), (None, b)], [(None, a), (None, a), (None, b)], odd, odd * 2):
+        for clash in (True, False):
+            _one_of_each_group(rows, [(r.doc_id, r.text) for r in simhash.keep_one(spark, docs(rows, clash)).collect()])
+
+
 def test_keep_one_keeps_columns_and_one_of_each_group(spark, docs):
     kept = simhash.keep_one(spark, docs([(3, "a b c d"), (2, "a b c d"), (2, "a b c d"), (9, "quite other words here"), (None, "a b c d")]))
-    assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == [(False, 2), (False, 9), (True, None)]
+    assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == [(False, 2), (False, 9)]
     assert kept.columns == docs([]).columns
 
 
@@ -217,7 +269,11 @@ def test_coder_equals_the_library(ranks, library, spark, data):
     texts = TRICKY + [r.text for r in queries.read(spark, data, "documents").limit(60).collect()]
     for t in texts:
         assert coder.ids(t).tolist() == library.encode_ordinary(t)
-        assert coder.decimals(t)[1] == t.encode()
+        listed, decoded = coder.decimals(coder.packed([t])[0])
+        assert decoded == t.encode()
+        assert listed == ",".join(map(str, library.encode_ordinary(t))).encode()
+    for together in (texts, texts[::-1]):
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder.packed(together)] == [library.encode_ordinary(t) for t in together]
 
 
 def test_cache_generations_change_nothing(ranks, library):
@@ -227,6 +283,31 @@ def test_cache_generations_change_nothing(ranks, library):
     assert coder.ids(text).tolist() == library.encode_ordinary(text)
 
 
+def test_bulk_fold_equals_the_library(ranks, library):
+    rng = np.random.default_rng(12)
+    letters = list("abcdetnisro .!\n1é日")
+    words = ["".join(rng.choice(letters, n)) for n in rng.integers(1, 40, 3000)]
+    words += ["ab" * 40_000, "x" * 5000, "é" * 300, "".join(rng.choice(letters, 3000)), "a" * bpe.LONGEST, "a" * (bpe.LONGEST + 1), ""]
+    got = bpe.fold_many([w.encode() for w in words], ranks, bpe.pair_table(ranks))
+    for w, ids in zip(words, got, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == (library._encode_single_piece(w.encode()) if w else [])
+
+
+def test_a_worker_holds_one_thing_and_slices_are_bounded():
+    import pyarrow as pa
+
+    from tidemill.llm.common import held, slices
+
+    one = held(("a",), dict)
+    assert held(("a",), dict) is one and held(("b",), list) == [] and held(("a",), dict) is not one
+    texts = ["x" * 10, None, "", "y" * 1000, "z", "ü" * 30, "w"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["i", "t"])
+    parts = [p.column(1).to_pylist() for p in slices(batch, 1, 3, 64)]
+    assert [t for p in parts for t in p] == texts
+    assert all(len(p) <= 3 and (len(p) == 1 or sum(len((t or "").encode()) for t in p) <= 64) for p in parts)
+    assert [p.num_rows for p in slices(batch.slice(2, 3), 1, 5, 10)] == [1, 1, 1]
+
+
 def test_higher_order_fold_equals_the_library(spark, ranks, library):
     words = [" the", "zzzzqqq", "a", " Straße", "日本", "'s", "  ", "antidisestablishmentarianism", "\n", " 12345"]
     df = spark.createDataFrame([(w.encode(),) for w in words], "word binary")
@@ -257,15 +338,17 @@ def test_bpe_odd_rows(spark, docs, odd, library):
 @pytest.fixture(scope="module")
 def tokenizer():
     tokenizers = pytest.importorskip("tokenizers")
-    t = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+ADDED = ["<|endoftext|> first", "in the<|endoftext|>middle", "last <|endoftext|>", "<|endoftext|><|endoftext|>", "a <|endoftext|>  <|endoftext|> b\n", "<|endoftext|>", "<|endoftext| > not one"]
 
 
 def test_chunked_encoding_equals_the_library(tokenizer, spark, data):
     coder = token_files.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
     assert coder.by_chunk
-    texts = TRICKY + [r.text for r in queries.read(spark, data, "documents").limit(60).collect()]
+    texts = TRICKY + ADDED + [r.text for r in queries.read(spark, data, "documents").limit(60).collect()]
+    assert 50256 in np.frombuffer(coder.encode(ADDED)[0], "<u4")
     for t, got in zip(texts, coder.encode(texts), strict=True):
         assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 

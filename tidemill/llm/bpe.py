@@ -5,17 +5,18 @@ distinct word is encoded by folding ranked merges over its bytes: as long as
 two neighbouring pieces join to a piece of the vocabulary, the join of lowest
 rank (the first of equals) is made. Decoding concatenates the binary pieces.
 
-Two forms of the fold:
+Two forms of the same fold over the same literal rank map, a perfect hash of
+pairs of ids (:class:`Pairs`), so that a look-up is three array reads:
 
 * :func:`encode_words` folds with Spark's higher-order functions over a table of
-  distinct words, with the rank map as a literal one-row table of arrays (a
-  perfect hash of pairs of ids, so that a look-up is three array reads). Its size
-  is fixed by the vocabulary. It costs some hundred microseconds a word, so
+  distinct words; the map is a one-row table of arrays, broadcast, whose size is
+  fixed by the vocabulary. It costs some hundred microseconds a word, so
   :func:`encode` uses it for the words that a bounded sample of documents shows
   to be the most frequent (``FREQUENT``): these cover most of any text.
-* Words outside that table are folded in the Python worker that meets them, once
-  each while they stay in a cache of ``CACHE_WORDS`` words (and of
-  ``CACHE_CHUNKS`` runs of words), which bounds the worker's memory.
+* :func:`fold_many` folds the other distinct words of a run of documents at once,
+  one numpy row for a word, in the worker that meets them; what it made is kept in
+  a cache of at most ``CACHE_CHUNKS`` runs of words and as many older ones, which
+  bounds the worker's memory.
 
 The table of frequent words is a cache: which words it holds doesn't change any
 result. Documents are encoded where they are read, without a shuffle.
@@ -29,7 +30,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
+import heapq
+import re
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -38,13 +43,18 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import remove, written
+from tidemill.llm.common import held, remove, slices, written
 
 #: Most words that the table of frequent words holds, and documents of the sample.
 FREQUENT = 40_000
 SAMPLE_DOCS = 2_000
-CACHE_WORDS = 100_000
 CACHE_CHUNKS = 150_000
+#: Rows and bytes of text that are encoded at once.
+ROWS = 256
+TEXT_BYTES = 4 << 20
+#: Longest word (bytes) that fold_many puts in a row, and rows of a block.
+LONGEST = 64
+BLOCK = 8192
 ABSENT = 1 << 30
 
 
@@ -58,10 +68,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
 # --- the fold in Spark ------------------------------------------------------------------
 
 
-def pair_table(ranks: dict[bytes, int]) -> dict[str, list[int]]:
-    """A perfect hash (left id, right id) to joined id, as three lists, and the
-    ids of the single bytes. Pair p = left * 65536 + right goes to slot
-    (h0(p) + shift[h(p)] * h1(p)) mod len(slots)."""
+@dataclass(frozen=True)
+class Pairs:
+    """A perfect hash (left id, right id) to joined id, and the ids of the single
+    bytes. Pair p = left * 65536 + right goes to slot
+    (h0(p) + shift[h(p)] * h1(p)) mod len(key)."""
+
+    shift: np.ndarray
+    key: np.ndarray
+    value: np.ndarray
+    byte: np.ndarray
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The joined ids of pairs, ABSENT where there is none; -1 is no piece."""
+        p = left.astype(np.int64) << 16 | np.maximum(right, 0)
+        slot = (_h0(p, len(self.key)) + self.shift[_h(p, len(self.shift))] * _h1(p, len(self.key))) % len(self.key)
+        return np.where((self.key[slot] == p) & (left >= 0) & (right >= 0), self.value[slot], ABSENT).astype(np.int32)
+
+
+def pair_table(ranks: dict[bytes, int]) -> Pairs:
     pairs = {}
     for piece, rank in ranks.items():
         for cut in range(1, len(piece)):
@@ -87,7 +112,7 @@ def pair_table(ranks: dict[bytes, int]) -> dict[str, list[int]]:
         else:
             raise ValueError("no perfect hash found")
         shift[g], key[slots], value[slots] = d, p[members], joined[members]
-    return {"shift": shift.tolist(), "key": key.tolist(), "value": value.tolist(), "byte": [ranks[bytes([b])] for b in range(256)]}
+    return Pairs(shift, key, value, np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64))
 
 
 def _h(p, n):
@@ -118,18 +143,20 @@ def fold_sql(word: str, n_shifts: int, n_slots: int) -> str:
     return f"if(octet_length({word}) = 0, cast(array() as array<int>), aggregate(sequence(1, greatest(1, octet_length({word}) - 1)), {start}, (a, n) -> {step}))"
 
 
-def encode_words(spark: SparkSession, words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+def encode_words(spark: SparkSession, words: DataFrame, ranks: dict[bytes, int], pairs: Pairs | None = None) -> DataFrame:
     """``words`` (word binary) with their ids (array<int>): higher-order
-    functions fold the merges. The rank map is one row of fixed size, which is
-    broadcast."""
-    table = pair_table(ranks)
+    functions fold the merges. A word that is a piece has its rank. The rank map is
+    one row of fixed size, which is broadcast."""
+    table = pairs or pair_table(ranks)
     types = "k int, shift array<bigint>, key array<bigint>, value array<bigint>, byte array<bigint>"
-    row = spark.createDataFrame([(0, table["shift"], table["key"], table["value"], table["byte"])], types)
-    many = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(64)).cast("int").alias("part")).agg(F.collect_set("word").alias("words"))
+    row = spark.createDataFrame([(0, *(x.tolist() for x in (table.shift, table.key, table.value, table.byte)))], types)
+    whole = spark.createDataFrame(list(ranks.items()), "word binary, whole int")
+    named = words.join(F.broadcast(whole), "word", "left")
+    many = named.groupBy(F.pmod(F.xxhash64("word"), F.lit(64)).cast("int").alias("part")).agg(F.collect_set(F.struct("word", "whole")).alias("words"))
     # Few rows but much to compute: a number of partitions that adaptive execution keeps.
     many = many.repartition(16).withColumn("k", F.col("part") - F.col("part"))
-    fold = fold_sql("w", len(table["shift"]), len(table["key"]))
-    coded = many.join(F.broadcast(row), "k").select(F.expr(f"transform(words, w -> struct(w as word, {fold} as ids))").alias("coded"))
+    fold = f"if(w.whole is null, {fold_sql('w.word', len(table.shift), len(table.key))}, array(w.whole))"
+    coded = many.join(F.broadcast(row), "k").select(F.expr(f"transform(words, w -> struct(w.word as word, {fold} as ids))").alias("coded"))
     return coded.select(F.inline("coded"))
 
 
@@ -137,134 +164,225 @@ def encode_words(spark: SparkSession, words: DataFrame, ranks: dict[bytes, int])
 
 
 def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one word."""
-    if (whole := ranks.get(word)) is not None:
-        return [whole]
-    pieces = [word[i : i + 1] for i in range(len(word))]
-    get = ranks.get
-    pairs = [get(a + b, ABSENT) for a, b in zip(pieces, pieces[1:], strict=False)]
-    while pairs:
-        best = min(pairs)
-        if best == ABSENT:
-            break
-        i = pairs.index(best)
-        pieces[i : i + 2] = [pieces[i] + pieces[i + 1]]
-        del pairs[i]
-        if i:
-            pairs[i - 1] = get(pieces[i - 1] + pieces[i], ABSENT)
-        if i < len(pairs):
-            pairs[i] = get(pieces[i] + pieces[i + 1], ABSENT)
-    return [ranks[p] for p in pieces]
-
-
-class Recent(dict):
-    """A cache of two generations: when the young one is full it becomes the old
-    one, from which what is still in use is taken over."""
-
-    def __init__(self, make, limit: int):
-        self.make, self.limit, self.old = make, limit, {}
-
-    def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        if (value := self.old.get(key)) is None:
-            value = self.make(key)
-        self[key] = value
-        return value
+    """The ids of one word of any length: a queue of the pairs by rank and place,
+    over pieces that know their neighbours."""
+    if (rank := ranks.get(word)) is not None:
+        return [rank]
+    n, get = len(word), ranks.get
+    pieces: list[bytes | None] = [word[i : i + 1] for i in range(n)]
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    queue = [(rank, i) for i in range(n - 1) if (rank := get(word[i : i + 2])) is not None]
+    heapq.heapify(queue)
+    while queue:
+        rank, i = heapq.heappop(queue)
+        j = after[i]
+        # What the queue holds of pieces that have changed since is passed over.
+        if pieces[i] is None or j >= n or get(pieces[i] + pieces[j]) != rank:
+            continue
+        pieces[i], pieces[j], after[i] = pieces[i] + pieces[j], None, after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        for a, b in ((before[i], i), (i, after[i])):
+            if a >= 0 and b < n and (rank := get(pieces[a] + pieces[b])) is not None:
+                heapq.heappush(queue, (rank, a))
+    return [ranks[p] for p in pieces if p is not None]
+
+
+def fold_many(words: list[bytes], ranks: dict[bytes, int], pairs: Pairs) -> list[bytes]:
+    """The ids of each word as little-endian 32-bit integers. Words of similar
+    length are the rows of one block."""
+    out: list[bytes] = [b""] * len(words)
+    todo: dict[int, list[int]] = {}
+    for i, word in enumerate(words):
+        if (rank := ranks.get(word)) is not None:
+            out[i] = rank.to_bytes(4, "little")
+        elif len(word) > LONGEST:
+            out[i] = np.array(fold(word, ranks), "<i4").tobytes()
+        elif word:
+            todo.setdefault(-(-len(word) // 4) * 4, []).append(i)
+    for width, members in todo.items():
+        for k in range(0, len(members), BLOCK):
+            part = members[k : k + BLOCK]
+            for i, ids in zip(part, _fold_block([words[i] for i in part], width, pairs), strict=True):
+                out[i] = ids
+    return out
+
+
+def _fold_block(words: list[bytes], width: int, pairs: Pairs) -> list[bytes]:
+    n = len(words)
+    lengths = np.fromiter(map(len, words), np.int64, n)
+    # One column more than there are places, for "no neighbour"; -1 is no piece.
+    piece = np.full((n, width + 1), -1, np.int32)
+    piece[np.arange(width + 1)[None, :] < lengths[:, None]] = pairs.byte[np.frombuffer(b"".join(words), np.uint8)]
+    after = np.broadcast_to(np.arange(1, width + 2), (n, width + 1)).copy()
+    before = np.broadcast_to(np.arange(-1, width), (n, width + 1)).copy()
+    rank = np.full((n, width), ABSENT, np.int32)
+    rank[:] = pairs(piece[:, :-1], piece[:, 1:])
+    rows = np.arange(n)
+    while len(rows):
+        at = rank[rows].argmin(axis=1)
+        best = rank[rows, at]
+        if not (more := best < ABSENT).all():
+            rows, at, best = rows[more], at[more], best[more]
+        gone = after[rows, at]
+        following, previous = after[rows, gone], before[rows, at]
+        piece[rows, at], piece[rows, gone] = best, -1
+        after[rows, at] = following
+        rank[rows, gone] = ABSENT
+        before[rows, following] = at
+        rank[rows, at] = pairs(best, piece[rows, following])
+        some = previous >= 0
+        rank[rows[some], previous[some]] = pairs(piece[rows[some], previous[some]], best[some])
+    alive = piece >= 0
+    ends = np.cumsum(alive.sum(axis=1)) * 4
+    ids = piece[alive].astype("<i4").tobytes()
+    return [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+
+class Recent:
+    """A cache of two generations, filled in bulk: when the young one is full it
+    becomes the old one, from which what is still in use is taken over."""
+
+    def __init__(self, make: Callable[[list[str]], Iterable[tuple[str, bytes]]], limit: int):
+        self.make, self.limit = make, limit
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def having(self, wanted: set[str]) -> dict[str, bytes]:
+        """A dictionary that has all of ``wanted``."""
+        missing = wanted.difference(self.young)
+        if len(self.young) + len(missing) > self.limit and self.young:
+            self.old, self.young = self.young, {}
+            missing = wanted
+        unknown = []
+        for key in missing:
+            if (value := self.old.get(key)) is None:
+                unknown.append(key)
+            else:
+                self.young[key] = value
+        self.young.update(self.make(unknown))
+        return self.young
 
 
 class Coder:
     """Encodes and decodes texts. A chunk is a run of text between single spaces,
-    with the space before it, or whatever white space makes of it; it is cut into
+    or whatever white space makes of it; with the space before it it is cut into
     words, and words outside the table of frequent words are folded when met."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, frequent: dict[bytes, list[int]] | None = None):
-        find = regex.compile(pattern).findall
-        pieces = [piece for piece, _ in sorted(ranks.items(), key=lambda x: x[1])]
-        known = frequent or {}
-
-        def word_ids(word: str) -> list[int]:
-            raw = word.encode("utf-8", "surrogatepass")
-            ids = known.get(raw)
-            return fold(raw, ranks) if ids is None else ids
-
-        words = Recent(word_ids, CACHE_WORDS)
-
-        def chunk(text: str) -> tuple[bytes, bytes]:
-            ids = [i for w in find(text) for i in words[w]]
-            return ",".join(map(str, ids)).encode(), decode(ids, pieces)
-
-        self.chunks = Recent(chunk, CACHE_CHUNKS)
-
-    def decimals(self, text: str | None) -> tuple[bytes, bytes]:
-        """The decimal ids of a whole text, joined by commas, and the bytes that
-        they decode to."""
-        if not text:
-            return b"", b""
-        ids, decoded = zip(*map(self.chunks.__getitem__, chunks(text)), strict=True)
-        return b",".join(ids), b"".join(decoded)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, frequent: dict[str, bytes] | None = None, pairs: Pairs | None = None):
+        self.ranks, self.pairs, self.find = ranks, pairs or pair_table(ranks), regex.compile(pattern).findall
+        self.pieces = [piece for piece, _ in sorted(ranks.items(), key=lambda x: x[1])]
+        self.decimal = [b"%d" % i for i in range(len(self.pieces))]
+        self.known = frequent or {}
+        self.chunks = Recent(lambda texts: code_chunks(texts, self.find, self._fold_words), CACHE_CHUNKS)
+
+    def _fold_words(self, words: list[str]) -> list[bytes]:
+        known = self.known
+        new = [w for w in words if w not in known]
+        ids = dict(zip(new, fold_many([w.encode("utf-8", "surrogatepass") for w in new], self.ranks, self.pairs), strict=True))
+        return [ids[w] if w in ids else known[w] for w in words]
+
+    def packed(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of whole texts as little-endian 32-bit integers."""
+        parts = [chunks(t) if t else [] for t in texts]
+        have = self.chunks.having(set().union(*parts))
+        return [b"".join(map(have.__getitem__, p)) for p in parts]
 
     def ids(self, text: str | None) -> np.ndarray:
-        listed, _ = self.decimals(text)
-        return np.array(listed.split(b","), dtype="<u4") if listed else np.empty(0, "<u4")
+        return np.frombuffer(self.packed([text])[0], "<u4")
+
+    def decimals(self, packed: bytes) -> tuple[bytes, bytes]:
+        """Decimal ids, joined by commas, and the bytes that the ids decode to."""
+        ids = np.frombuffer(packed, "<i4").tolist()
+        return b",".join(map(self.decimal.__getitem__, ids)), decode(ids, self.pieces)
+
+
+def code_chunks(parts: list[str], find: Callable[[str], list[str]], code: Callable[[list[str]], list[bytes]]) -> Iterable[tuple[str, bytes]]:
+    """Each of ``parts`` (of :func:`chunks`) with the codes of its words (32-bit
+    numbers), ``code`` being asked for every distinct word once. Chunks that follow a
+    space and end in a character are cut into words as one text, since the pattern
+    always cuts before a single space between characters."""
+    if not parts:
+        return ()
+    inner = [p for p in parts if p[0] != " " and not _SPACE(p[-1])]
+    outer = list(set(parts).difference(inner)) if len(inner) < len(parts) else []
+    words = find(" " + " ".join(inner)) if inner else []
+    texts = [*(" " + p for p in inner), *map(chunk_text, outer)]
+    for text in texts[len(inner) :]:
+        words += find(text)
+    sizes = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    last = np.searchsorted(sizes, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts))))
+    distinct = list(set(words))
+    place = dict(zip(distinct, range(len(distinct)), strict=True))
+    index = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+    coded = code(distinct)
+    counts = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+    n = counts[index]
+    ends = np.cumsum(n)
+    from_ = np.repeat((np.cumsum(counts) - counts)[index] - (ends - n), n) + np.arange(ends[-1])
+    flat = np.frombuffer(b"".join(coded), "<u4")[from_].tobytes()
+    stops = (ends[last] * 4).tolist()
+    return zip(inner + outer, [flat[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)], strict=True)
 
 
 def decode(ids: Iterable[int], pieces: list[bytes]) -> bytes:
     return b"".join(map(pieces.__getitem__, ids))
 
 
-_CLOSE = regex.compile(r"\s | \s")
+#: Finds more than the pattern calls white space, which is safe.
+_CLOSE = re.compile(r"\s | \s")
 _SAFE = regex.compile(r"(?<=\S) (?=\S)")
+_SPACE = re.compile(r"\s").match
 
 
-def chunks(text: str) -> Iterable[str]:
-    """Cuts ``text`` before single spaces between two characters that aren't
-    white space. The pattern always cuts there, since its words hold white space
-    at their start only."""
-    parts = (_SAFE.split(text) if _CLOSE.search(text) else text.split(" ")) if text else []
+def chunks(text: str) -> list[str]:
+    """Cuts ``text`` at single spaces between two characters that aren't white
+    space. The pattern always cuts before these, since its words hold white space at
+    their start only. The space isn't in a chunk, but the first chunk, which has
+    none, begins with one to tell it apart (:func:`chunk_text`)."""
+    parts = _SAFE.split(text) if _CLOSE.search(text) else text.split(" ")
     # A space at an end of the text has no word on one side.
     if len(parts) > 1 and not (parts[0] and parts[-1]):
         parts = _SAFE.split(text)
-    return [parts[0], *(" " + p for p in parts[1:])] if parts else parts
+    parts[0] = " " + parts[0]
+    return parts
 
 
-def frequent_words(spark: SparkSession, docs: DataFrame, pattern: str, ranks: dict[bytes, int], limit: int = FREQUENT, sample: int = SAMPLE_DOCS) -> dict[bytes, list[int]]:
-    """Word to ids of at most ``limit`` words, the most frequent of at
+def chunk_text(chunk: str) -> str:
+    return chunk[1:] if chunk[0] == " " else " " + chunk
+
+
+def frequent_words(spark: SparkSession, docs: DataFrame, pattern: str, ranks: dict[bytes, int], pairs: Pairs, limit: int = FREQUENT, sample: int = SAMPLE_DOCS) -> dict[str, bytes]:
+    """Word to ids (little-endian 32-bit integers) of at most ``limit`` words, the most frequent of at
     most ``sample`` documents. What comes to the driver is bounded by ``limit``."""
     some = docs.select("text").filter("text is not null").limit(sample)
     counted = some.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     words = written(spark, counted.orderBy(F.desc("n"), "w").limit(limit).select(F.col("w").cast("binary").alias("word")), "frequent")
-    coded = encode_words(spark, words, ranks).collect()
+    coded = encode_words(spark, words, ranks, pairs).collect()
     remove(spark, words)
-    return {bytes(r.word): r.ids for r in coded}
+    return {r.word.decode("utf-8", "surrogatepass"): np.array(r.ids, "<i4").tobytes() for r in coded}
 
 
 def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, digests: bool = False) -> DataFrame:
     """(doc_id, ids array<int>) for each row; with ``digests`` (doc_id, n_tokens,
     ids_sha256, decoded_sha256) in place of ids. ``path``: a file of ranks that
     every machine has."""
-    frequent = spark.sparkContext.broadcast(frequent_words(spark, docs, pattern, read_ranks(path)))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    ranks = read_ranks(path)
+    pairs = pair_table(ranks)
+    shared = spark.sparkContext.broadcast((frequent_words(spark, docs, pattern, ranks, pairs), pairs))
+    id_type, call = docs.schema["doc_id"].dataType.simpleString(), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = worker_coder(path, pattern, frequent)
+        coder = held(("bpe", call), lambda: Coder(read_ranks.__wrapped__(path), pattern, *shared.value))
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                texts = part.column(1).to_pylist()
+            for part in slices(batch, 1, ROWS, TEXT_BYTES):
+                got = coder.packed(part.column(1).to_pylist())
                 if digests:
-                    got = [coder.decimals(t) for t in texts]
-                    columns = [
-                        pa.array([ids.count(b",") + 1 if ids else 0 for ids, _ in got], pa.int64()),
-                        pa.array([hashlib.sha256(ids).hexdigest() for ids, _ in got], pa.string()),
-                        pa.array([hashlib.sha256(decoded).hexdigest() for _, decoded in got], pa.string()),
-                    ]
+                    columns = [pa.array([len(x) // 4 for x in got], pa.int64()), *_digests(coder, got)]
                     names = ["n_tokens", "ids_sha256", "decoded_sha256"]
                 else:
-                    got = [coder.ids(t) for t in texts]
-                    ends = pa.array(np.cumsum([0, *map(len, got)]), pa.int32())
-                    columns = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*got, np.empty(0, "<u4")]).astype(np.int32)))]
+                    ends = pa.array(np.cumsum([0, *(len(x) // 4 for x in got)]), pa.int32())
+                    columns = [pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(got), "<i4")))]
                     names = ["ids"]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", *names])
 
@@ -272,13 +390,6 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, digest
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {out}")
 
 
-_coders: dict = {}
-
-
-def worker_coder(path: str, pattern: str, frequent) -> Coder:
-    """This worker's coder, which outlives a task; another broadcast replaces it."""
-    key = (path, pattern, frequent.id if hasattr(frequent, "id") else id(frequent))
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = Coder(read_ranks(path), pattern, frequent.value)
-    return _coders[key]
+def _digests(coder: Coder, rows: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    pairs = [tuple(hashlib.sha256(x).hexdigest() for x in coder.decimals(row)) for row in rows]
+    return pa.array([a for a, _ in pairs], pa.string()), pa.array([b for _, b in pairs], pa.string())

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import text_id_crc
+from tidemill.llm.common import held, text_id_crc
 
 BITS = 18
 SCALE = 12.0
@@ -60,7 +60,6 @@ class _Words(dict):
         return code
 
 
-_words = _Words()
 
 
 def features(text: str | None) -> tuple[np.ndarray, int]:
@@ -69,7 +68,8 @@ def features(text: str | None) -> tuple[np.ndarray, int]:
     words = text.split() if text else []
     if not words:
         return np.empty(0, np.int64), 0
-    codes = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
+    known = held(("quality",), _Words)
+    codes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
     core, mark = codes & np.uint64(0xFFFFFFFF), codes >> np.uint64(32)
     pair = (core[:-1] * np.uint64(0x9E3779B1) + core[1:] * np.uint64(0x85EBCA77)) >> np.uint64(7)
     pair[(core[:-1] == core[1:])] = _SAME

@@ -12,7 +12,8 @@ where they land; the number of the range is a column, so that starts come from
 one sum for each range. A text is cut before single spaces between two
 characters that aren't white space, where byte-level pre-tokenizers cut too, and
 the chunks into words by the byte-level pattern; the library's model encodes each
-distinct word, once while it stays in a worker's cache.
+distinct word, once while its chunk stays in a worker's cache. A text that holds the
+string of an added token is left to the library, which gives it that token's id.
 
 Edge cases: a null text is empty (the end id alone); null ids come first; rows
 that share an id are ordered by their text. Extra columns are never read.
@@ -20,9 +21,8 @@ that share an id are ordered by their text. Extra columns are never read.
 
 from __future__ import annotations
 
-import re
-import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -33,19 +33,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemill.llm.bpe import _SAFE, Recent
-from tidemill.llm.common import new_path
+from tidemill.llm.bpe import Recent, chunks, code_chunks
+from tidemill.llm.common import held, new_path, slices
 
 ROW_GROUP = 32 << 20
 PAGE = 256 << 10
 CACHE_CHUNKS = 400_000
 CACHE_WORDS = 150_000
-
-_CLOSE = re.compile(r"\s | \s")
-#: Letters, and one mark at most after them: two words by any reading of the pattern.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
-
-_tokenizers: dict = {}
+#: Rows and bytes of text that are encoded at once.
+ROWS = 256
+TEXT_BYTES = 4 << 20
 
 
 # The pattern that cuts text into words before byte-level merges.
@@ -61,49 +58,39 @@ def byte_letters() -> dict[int, str]:
 
 
 class ChunkEncoder:
-    """A text's ids, by the tokenizers library's model. A text is cut before single
-    spaces, each distinct chunk into words, and the model encodes each distinct word,
-    once while it is cached. Files of other kinds are encoded whole."""
+    """A text's ids, as the tokenizers library gives them. A text is cut before single
+    spaces, each distinct chunk into words, and the library's model encodes each
+    distinct word, once while its chunk is cached. Texts that hold the string of an
+    added token, and those of files of other kinds, are encoded by the library as
+    they are."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings are ordinary text
         steps = str(self.library.pre_tokenizer)
         self.by_chunk = steps.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in steps and self.library.normalizer is None
-        letters, find, model = byte_letters(), regex.compile(PATTERN).findall, self.library.model
-
-        def word_ids(word: str) -> bytes:
-            mapped = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters)
-            return struct.pack(f"<{len(ids)}I", *ids) if (ids := [t.id for t in model.tokenize(mapped)]) else b""
-
-        words = Recent(word_ids, CACHE_WORDS)
+        self.added = sorted(t.content for t in self.library.get_added_tokens_decoder().values())
+        self.letters, self.find, self.model = byte_letters(), regex.compile(PATTERN).findall, self.library.model
+        self.words = Recent(lambda words: zip(words, map(self._word, words), strict=True), CACHE_WORDS)
+        self.chunks = Recent(lambda texts: code_chunks(texts, self.find, self._encode_words), CACHE_CHUNKS)
 
-        def spaced(chunk: str) -> bytes:
-            if plain := _PLAIN(chunk):
-                return words[" " + plain[1]] + words[plain[2]] if plain[2] else words[" " + chunk]
-            return self.chunk(" " + chunk)
+    def _word(self, word: str) -> bytes:
+        space, body = ("Ġ", word[1:]) if word[0] == " " else ("", word)
+        if not (body.isascii() and body.isalnum()):  # these letters stand for themselves
+            body = body.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(space + body)]).tobytes()
 
-        self.chunk = lambda chunk: b"".join(map(words.__getitem__, find(chunk)))
-        #: By the chunk without the space before it.
-        self.spaced = Recent(spaced, CACHE_CHUNKS)
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        have = self.words.having(set(words))
+        return list(map(have.__getitem__, words))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        return [self._encode(t) if t else b"" for t in texts]
-
-    def _encode(self, text: str) -> bytes:
-        if not self.by_chunk:
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        parts = text.split(" ")
-        if not (parts[0] and parts[-1]) or _CLOSE.search(text):
-            parts = _SAFE.split(text)
-        return self.chunk(parts[0]) + b"".join(map(self.spaced.__getitem__, parts[1:]))
-
-
-def _encoder(path: str) -> ChunkEncoder:
-    if path not in _tokenizers:
-        _tokenizers.clear()
-        _tokenizers[path] = ChunkEncoder(path)
-    return _tokenizers[path]
+        whole = [bool(t) and (not self.by_chunk or any(a in t for a in self.added)) for t in texts]
+        parts = [chunks(t) if t and not x else [] for t, x in zip(texts, whole, strict=True)]
+        have = self.chunks.having(set().union(*parts))
+        return [
+            np.array(self.library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if x else b"".join(map(have.__getitem__, p))
+            for t, x, p in zip(texts, whole, parts, strict=True)
+        ]
 
 
 def _lists(rows: list[bytes]) -> pa.ListArray:
@@ -112,10 +99,9 @@ def _lists(rows: list[bytes]) -> pa.ListArray:
 
 
 def _encode_part(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder, end, start = _encoder(path), np.array([end_id], "<u4").tobytes(), 0
+    encoder, end, start = held(("token files", path), lambda: ChunkEncoder(path)), np.array([end_id], "<u4").tobytes(), 0
     for batch in batches:
-        for i in range(0, batch.num_rows, 128):
-            part = batch.slice(i, 128)
+        for part in slices(batch, batch.schema.get_field_index("text"), ROWS, TEXT_BYTES):
             rows = [ids + end for ids in encoder.encode(part.column("text").to_pylist())]
             n = np.array([len(r) // 4 for r in rows], dtype=np.int64)
             starts = start + np.cumsum(n) - n
