@@ -5,40 +5,51 @@ the XXH64 hashes (seed 42) of its word shingles. Fingerprints link at
 ``MAX_BITS`` = 3 or fewer differing bits.
 
 Search. The fingerprint is cut into segments of 22, 21 and 21 bits, each padded
-to the 23 bits of the binary Golay code. If two fingerprints differ in at most
-three bits, two of the three segments differ in at most one bit each
-(pigeonhole). A segment's nearest codeword is at distance 3 at most, so it is
-within 4 of any segment that differs in one bit; each segment has one or six
-codewords within 4. A fingerprint is therefore *stored* under the nearest
-codewords of each pair of segments (3 keys) and *looks* under all codewords
-within 4 of each pair (at most 108 keys), and every link is found. Distinct
-fingerprints are searched, not documents, so copies cost nothing.
+to the 23 bits of the binary Golay code. Of two fingerprints that differ in at most
+three bits, either one segment is equal and another differs in one bit at most, or
+each segment differs in exactly one bit (pigeonhole). A segment's nearest codeword
+is at distance 3 at most, so it is within 4 of any segment that differs in one bit;
+each segment has one or six codewords within 4. The keys are therefore
+
+* for each ordered pair of segments the first one and a codeword of the second (33
+  or 34 bits): a fingerprint is *stored* under the nearest codeword (6 keys) and
+  *looks* under all codewords within 4 (6 or up to 36 keys);
+* codewords of all three segments (36 bits): stored under all of the first within
+  4 with the nearest of the others (up to 6 keys), looked for under the nearest of
+  the first with all of the others (up to 36 keys),
+
+some 11 and 60 keys, and every link is found, while keys are so long that
+fingerprints seldom meet by chance. Distinct fingerprints are searched, not
+documents, so copies cost nothing.
 
 Keys with many stored fingerprints (clusters of near copies) are searched in
-blocks of bounded size, of which each returns a spanning forest of its links,
-not all pairs; other keys are joined and verified by ``bit_count``.
+blocks of bounded size, of which each returns a spanning forest of its links, not
+all pairs; under other keys fingerprints are verified by ``bit_count`` where they
+meet. The look rows are dealt out once: they meet the stored fingerprints of a key
+or, where these are many, a mark in their place; only what has met a mark goes on to
+the blocks.
 
 Edge cases: null, empty and blank texts have fingerprint zero, which links like
 any other; texts of fewer words than a shingle hash their whole sequence. A
-null id keeps its row; component ids are the smallest non-null id reachable
-(null where there is none). Rows that share an id are rows of their own. Extra
-columns are never read.
+null id keeps its row in :func:`components`; component ids are the smallest
+non-null id reachable (null where there is none). Rows that share an id are rows of
+their own. Extra columns are never read there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
-from itertools import combinations
+from itertools import combinations, permutations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import connected_components, remove, written
+from tidemill.llm.common import connected_components, remove, slices, written
 
 SHINGLE = 3
 SEED = 42
@@ -48,6 +59,8 @@ SEGMENTS = ((42, 22), (21, 21), (0, 21))
 #: Keys with more stored fingerprints than this are searched in blocks.
 DENSE = 48
 BLOCK = 2048
+#: Bytes of text that are fingerprinted at once.
+TEXT_BYTES = 8 << 20
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -70,15 +83,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and the columns ``also``: fp is the fingerprint as a signed
+    64-bit integer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t, shingle, seed) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            for part in slices(batch, 1, batch.num_rows, TEXT_BYTES):
+                fps = np.array([fingerprint(t, shingle, seed) for t in part.column(1).to_pylist()], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64)), *part.columns[2:]], ["doc_id", "fp", *also])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    kind = lambda c: f"{c} {docs.schema[c].dataType.simpleString()}"
+    return docs.select("doc_id", "text", *also).mapInArrow(run, ", ".join([kind("doc_id"), "fp bigint", *map(kind, also)]))
 
 
 # --- the binary Golay code [23, 12, 7] --------------------------------------------------
@@ -125,20 +141,34 @@ def codeword_indices(segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (segment[:, None] ^ patterns[s]) >> 11, number[s]
 
 
-def keys(fps: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Of each fingerprint (uint64): the three keys that it is stored under
-    (an array of three columns) and all keys that it looks under."""
-    parts = [codeword_indices(((fps >> np.uint64(shift)) & np.uint64((1 << width) - 1)).astype(np.int64)) for shift, width in SEGMENTS]
-    stored, looks = [], []
-    for k, (i, j) in enumerate(combinations(range(3), 2)):
-        (a, na), (b, nb) = parts[i], parts[j]
-        key = (k << 24) | (a[:, :, None] << 12) | b[:, None, :]
-        valid = (np.arange(6) < na[:, None])[:, :, None] & (np.arange(6) < nb[:, None])[:, None, :]
-        stored.append(key[:, 0, 0])
-        looks.append((key.reshape(len(fps), 36), valid.reshape(len(fps), 36)))
-    every = np.concatenate([x for x, _ in looks], axis=1)
-    mask = np.concatenate([x for _, x in looks], axis=1)
-    return np.stack(stored, axis=1), [every, mask]
+def _combined(kind: int, columns: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of every choice of one value from each of ``columns`` (values, how many
+    of them count, bits), and which of the keys count."""
+    n = len(columns[0][0])
+    key, valid = np.full((n, 1), kind, np.int64), np.ones((n, 1), bool)
+    for values, number, bits in columns:
+        key = ((key[:, :, None] << bits) | values[:, None, :]).reshape(n, -1)
+        valid = (valid[:, :, None] & (np.arange(values.shape[1]) < number[:, None])[:, None, :]).reshape(n, -1)
+    return key, valid
+
+
+def keys(fps: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Of each fingerprint (uint64) the keys that it is stored under and those that it
+    looks under: each as an array of columns and which of them count."""
+    one = np.ones(len(fps), np.int64)
+    exact, near, all_ = [], [], []
+    for shift, width in SEGMENTS:
+        segment = ((fps >> np.uint64(shift)) & np.uint64((1 << width) - 1)).astype(np.int64)
+        words, number = codeword_indices(segment)
+        exact.append((segment[:, None], one, 22))
+        near.append((words[:, :1], one, 12))
+        all_.append((words, number, 12))
+    stored = [_combined(k, [exact[i], near[j]]) for k, (i, j) in enumerate(permutations(range(3), 2), 1)]
+    looks = [_combined(k, [exact[i], all_[j]]) for k, (i, j) in enumerate(permutations(range(3), 2), 1)]
+    stored.append(_combined(7, [all_[0], near[1], near[2]]))
+    looks.append(_combined(7, [near[0], all_[1], all_[2]]))
+    joined = lambda found: tuple(np.concatenate(x, axis=1) for x in zip(*found, strict=True))
+    return joined(stored), joined(looks)
 
 
 def _key_rows(classes: DataFrame, look: bool) -> DataFrame:
@@ -147,14 +177,10 @@ def _key_rows(classes: DataFrame, look: bool) -> DataFrame:
             signed = np.asarray(batch.column(0))
             for i in range(0, len(signed), 4096):
                 fps = signed[i : i + 4096]
-                stored, (every, mask) = keys(fps.view(np.uint64))
-                if look:
-                    of, k = np.repeat(fps, mask.sum(axis=1)), every[mask]
-                else:
-                    of, k = np.repeat(fps, 3), stored.ravel()
-                yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(of)], ["key", "fp"])
+                key, valid = keys(fps.view(np.uint64))[look]
+                yield pa.RecordBatch.from_arrays([pa.array(key[valid]), pa.array(np.repeat(fps, valid.sum(axis=1)))], ["key", "fp"])
 
-    return classes.select("fp").mapInArrow(run, "key int, fp bigint")
+    return classes.select("fp").mapInArrow(run, "key bigint, fp bigint")
 
 
 def forest(a: np.ndarray, b: np.ndarray, near: np.ndarray) -> list[tuple[int, int]]:
@@ -190,24 +216,22 @@ def links(spark: SparkSession, classes: DataFrame, made: list[DataFrame] | None
     linked. ``classes`` has one row for each fingerprint. ``made`` gets the written
     tables that the result reads, which can go when it has been read."""
     stored = written(spark, _key_rows(classes, look=False), "stored")
-    # Made once, though up to three joins read it. Its file is small for its rows: the
-    # hint keeps it from being broadcast.
-    looks = written(spark, _key_rows(classes, look=True), "looks")
-    if made is not None:
-        made += [stored, looks]
-    looks = looks.hint("merge")
     dense = stored.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > DENSE)
     dense = written(spark, dense.withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int")), "dense")
-    plain = (
-        looks.join(stored.join(dense, "key", "left_anti").withColumnRenamed("fp", "other"), "key")
-        .filter((F.bit_count(F.expr("fp ^ other")) <= MAX_BITS) & (F.col("fp") != F.col("other")))
-        .select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b"))
-    )
-    found = dense.agg(F.count("*")).first()[0]
-    if not found:
-        return plain
-    asked = looks.join(dense, "key", "left_semi").groupBy("key").agg(F.count("*").alias("m"))
+    few = stored.join(dense, "key", "left_anti").select("key", F.col("fp").alias("other"))
+    marks = dense.select("key", F.lit(None).cast("bigint").alias("other"))
+    faced = written(spark, few.union(marks), "faced")
+    # The planner takes the look rows for as small as the fingerprints: the hint keeps
+    # them from being broadcast.
+    close = F.col("other").isNull() | ((F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= MAX_BITS) & (F.col("fp") != F.col("other")))
+    met = _key_rows(classes, look=True).hint("merge").join(faced, "key").filter(close)
+    met = written(spark, met.select(F.when(F.col("other").isNull(), F.col("key")).alias("key"), "fp", "other"), "met")
+    plain = met.filter("other is not null").select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b"))
+    looks = met.filter("key is not null").select("key", "fp")
+    asked = looks.groupBy("key").agg(F.count("*").alias("m"))
     plan = written(spark, dense.join(asked, "key").select("key", "nb", F.ceil(F.col("m") / BLOCK).cast("int").alias("mb")), "plan")
+    if made is not None:
+        made += [stored, dense, faced, met, plan]
     mine = F.pmod(F.xxhash64("fp"), F.col("nb").cast("bigint")).cast("int")
     theirs = F.pmod(F.xxhash64("fp"), F.col("mb").cast("bigint")).cast("int")
     blocks = (
@@ -218,26 +242,46 @@ def links(spark: SparkSession, classes: DataFrame, made: list[DataFrame] | None
     return plain.union(blocks.groupBy("key", "i", "j").applyInPandas(_block_links, "a bigint, b bigint"))
 
 
-def components(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp, component_id), a row for each document."""
-    fps = written(spark, fingerprints(docs, shingle, seed), "fps")
-    classes = written(spark, fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
+def _groups(spark: SparkSession, fps: DataFrame, best: Column) -> DataFrame:
+    """(fp, root, best): the group of each distinct fingerprint and the smallest
+    ``best`` of the group's rows."""
+    classes = written(spark, fps.groupBy("fp").agg(F.min(best).alias("best")), "classes")
     made: list[DataFrame] = []
     roots = connected_components(spark, links(spark, classes, made))
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "best", F.coalesce("root", "fp").alias("root"))
     rooted = written(spark, rooted, "rooted")
-    smallest = written(spark, rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "smallest")
-    named = written(spark, rooted.join(smallest, "root").select("fp", "component_id"), "named")
+    smallest = written(spark, rooted.groupBy("root").agg(F.min("best").alias("best")), "smallest")
+    named = written(spark, rooted.drop("best").join(smallest, "root").select("fp", "root", "best"), "named")
     for t in (rooted, smallest, roots, classes, *made):
         remove(spark, t)
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return named
+
+
+def components(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """(doc_id, fp, component_id), a row for each document."""
+    fps = written(spark, fingerprints(docs, shingle, seed), "fps")
+    named = _groups(spark, fps, F.col("doc_id"))
+    return fps.join(named, "fp").select("doc_id", "fp", F.col("best").alias("component_id"))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of near copies: that with the
-    smallest id, and of rows that share an id one. Rows with a null id can't be
-    named by a decision and stay."""
-    named = components(spark, docs)
-    kept = written(spark, named.filter("doc_id = component_id").select("doc_id").distinct(), "kept")
-    of_group = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return of_group.unionByName(docs.filter("doc_id is null"))
+    """``docs`` with one row of each group of near copies: that with the smallest id
+    (null ids last), and of rows that share it that with the smallest hash of all
+    columns (but maps, which have no hash). Rows that are equal in all of these count
+    as one. Names that begin with ``_simhash_`` are its own."""
+    hashed = [c for c, kind in docs.dtypes if "map<" not in kind]
+    rows = docs.withColumn("_simhash_row", F.xxhash64(*[F.col(f"`{c}`") for c in hashed]))
+    fps = written(spark, fingerprints(rows, also=("_simhash_row",)), "fps")
+    named = _groups(spark, fps, F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_simhash_row").alias("row")))
+    best = named.filter("fp = root").select(F.col("best.id").alias("_simhash_id"), F.col("best.row").alias("_simhash_like"))
+    again = fps.groupBy(F.col("doc_id").alias("of"), F.col("_simhash_row").alias("like")).agg(F.count("*").alias("n")).filter("n > 1")
+    same = best["_simhash_id"].eqNullSafe(again["of"]) & (best["_simhash_like"] == again["like"])
+    kept = written(spark, best.join(again, same, "left").select("_simhash_id", "_simhash_like", F.col("n").isNotNull().alias("again")), "kept")
+    remove(spark, fps)
+    remove(spark, named)
+
+    def of(some: DataFrame) -> DataFrame:
+        return rows.join(some, rows["doc_id"].eqNullSafe(some["_simhash_id"]) & (rows["_simhash_row"] == some["_simhash_like"]), "left_semi")
+
+    once, repeated = of(kept.filter("not again")), of(kept.filter("again"))
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "_simhash_row"])).select(*[F.col(f"`{c}`") for c in docs.columns])
