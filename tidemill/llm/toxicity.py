@@ -3,14 +3,17 @@ zstandard dictionary of ordinary text and with one of toxic text; what the
 toxic dictionary saves is the evidence, and thresholds on it are calibrated on
 labelled rows.
 
-Both dictionaries end in the same ordinary passages, which zstandard's trainer
-picks from ordinary windows, so that ordinary words cost the same in either.
-The toxic one also holds the word beginnings that toxic training texts share
-and ordinary ones do not. Windows are runs of whole words of at least
-``WINDOW`` bytes and cover the whole text. A text's score is a logistic
-function of its largest saving, the means of its three largest and of all
-savings, the number of windows, and how many of them pass each of three
-thresholds, fitted on the training rows.
+Both dictionaries are trained by zstandard's trainer. That of ordinary text is
+trained on ordinary windows; the toxic one on what remains of toxic texts when the
+words that ordinary texts hold as well are taken out, since toxic texts are ordinary
+but for a few words, and a dictionary of whole windows holds these by chance only. A
+word remains if one of its beginnings is ``RATIO`` times as frequent among toxic
+training texts. The toxic dictionary ends in the ordinary one, so that ordinary words
+cost the same in either. Windows are runs of whole words of at least ``WINDOW`` bytes
+and cover the whole text; a longer word is cut into windows of ``LONGEST`` bytes. A
+text's score is a logistic function of its largest saving, the means of its three
+largest and of all savings, the number of windows, and how many of them pass each of
+three thresholds, fitted on the training rows.
 
 Edge cases: null, empty and blank texts have no window and score 0; without
 labelled rows of both kinds every score is 0. Rows are scored one by one, so
@@ -34,8 +37,15 @@ from tidemill.llm.common import text_id_crc
 from tidemill.llm.quality import labelled_sample
 
 WINDOW = 64
+#: Longest window of a word that has no white space in it.
+LONGEST = 4096
 ORDINARY_BYTES = 32_768
-TOXIC_BYTES = 4_096
+TOXIC_BYTES = 1024
+#: How many times as frequent among toxic texts a beginning has to be, the share of
+#: toxic texts that have it at least, and words of a sample for the trainer.
+RATIO = 30
+SHARE = 0.04
+SAMPLE_WORDS = 4
 SAMPLE_ROWS = 6000
 SAMPLE_CHARS = 20_000
 _MARKS = b".,;:!?$%&*#|\"'()"
@@ -44,6 +54,12 @@ _MARKS = b".,;:!?$%&*#|\"'()"
 def windows(text: str | None) -> list[bytes]:
     out, run, size = [], [], 1
     for word in text.encode("utf-8", "surrogatepass").lower().split() if text else ():
+        if len(word) > LONGEST:
+            if run:
+                out.append(b" " + b" ".join(run) + b" ")
+                run, size = [], 1
+            out += [word[i : i + LONGEST] for i in range(0, len(word), LONGEST)]
+            continue
         run.append(word)
         size += len(word) + 1
         if size >= WINDOW:
@@ -101,26 +117,34 @@ def _beginnings(words: set[bytes]) -> set[bytes]:
     return out
 
 
-def toxic_content(rows: list[tuple[str, int]]) -> bytes:
-    """Word beginnings common among toxic texts and rare in ordinary ones, the
-    most frequent last (where zstandard's offsets are shortest)."""
+def toxic_samples(rows: list[tuple[str, int]]) -> list[bytes]:
+    """What remains of the toxic texts without the words of ordinary ones, in pieces
+    of ``SAMPLE_WORDS`` words."""
     seen: tuple[Counter, Counter] = Counter(), Counter()
     total = [0, 0]
     for text, label in rows:
         seen[label].update(_beginnings(set((text or "").encode("utf-8", "surrogatepass").lower().split())))
         total[label] += 1
     if not min(total):
-        return b""
-    strong = {p: n for p, n in seen[1].items() if n >= max(3, 0.04 * total[1]) and n * total[0] >= 30 * (seen[0][p] + 0.5) * total[1]}
-    longest: dict[bytes, bool] = dict.fromkeys(strong, True)
-    for p in strong:
-        if p[:-1] in strong:
-            if strong[p] >= 0.7 * strong[p[:-1]]:
-                longest[p[:-1]] = False
-            else:
-                longest[p] = False
-    chosen = sorted((n, p) for p, n in strong.items() if longest[p])
-    return (b"".join(p for _, p in chosen) + b" ")[-TOXIC_BYTES:] if chosen else b""
+        return []
+    marks = {p for p, n in seen[1].items() if n >= max(3, SHARE * total[1]) and n * total[0] >= RATIO * (seen[0][p] + 0.5) * total[1]}
+    out = []
+    for text, label in rows:
+        if label and text:
+            words = [b" " + w.strip(_MARKS) for w in text.encode("utf-8", "surrogatepass").lower().split()]
+            words = [w for w in words if any(w[:k] in marks for k in range(4, 14))]
+            out += [b"".join(words[i : i + SAMPLE_WORDS]) + b" " for i in range(0, len(words), SAMPLE_WORDS)]
+    return out
+
+
+def _dictionary(samples: list[bytes], size: int, **settings: int) -> bytes:
+    """Content of a dictionary that zstandard trains on ``samples``; of too few for its
+    trainer the samples themselves."""
+    try:
+        # Its header and tables come first and are left out.
+        return zstandard.train_dictionary(size + 4096 if size > 4096 else 2 * size, samples, **settings).as_bytes()[-size:]
+    except zstandard.ZstdError:
+        return b"".join(samples)[-size:]
 
 
 def _calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, toxic_weight: float = 2.0) -> np.ndarray:
@@ -139,17 +163,13 @@ def _calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, toxic_weight:
 
 
 def train(rows: list[tuple[str, int]]) -> ToxicityModel:
-    toxic = toxic_content(rows)
+    samples = toxic_samples(rows)
     plain = [w for text, label in rows if not label for w in windows(text)]
-    if not toxic or len(plain) < 20:
+    if not samples or len(plain) < 20:
         return ToxicityModel(b"", b"", None)
     # Evenly spaced windows, so that every part of the sample has a share.
-    plain = plain[:: max(1, len(plain) // 40_000)]
-    try:
-        ordinary = zstandard.train_dictionary(ORDINARY_BYTES + 4096, plain).as_bytes()[-ORDINARY_BYTES:]
-    except zstandard.ZstdError:  # too little text for the trainer: the windows are the dictionary
-        ordinary = b"".join(plain)[-ORDINARY_BYTES:]
-    model = ToxicityModel(ordinary, toxic + ordinary, None)
+    ordinary = _dictionary(plain[:: max(1, len(plain) // 40_000)], ORDINARY_BYTES)
+    model = ToxicityModel(ordinary, _dictionary(samples, TOXIC_BYTES, k=16, d=6) + ordinary, None)
     pairs = [(e, label) for text, label in rows if (e := model.evidence(text)) is not None]
     model.coefficients = _calibrate(np.array([e for e, _ in pairs]), np.array([label for _, label in pairs], dtype=np.float64))
     return model
