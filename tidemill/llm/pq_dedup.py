@@ -13,10 +13,15 @@ tables (query residual to codewords); a member is passed on unless its distance
 less its coding error exceeds r, which loses no pair. What is passed on is
 compared by exact cosine.
 
-Lists are searched in blocks of ``BLOCK`` members and queries. A block returns the
-numbers of links that it finds for its vectors and a spanning forest of the links,
-not all pairs.
-The quantiser is fitted on at most ``SAMPLE`` classes; every vector is indexed.
+There is a list for each ``ROWS_PER_LIST`` classes, up to ``MOST_LISTS``, so that a
+list's length stays and the work of clustered vectors grows with the rows. Vectors
+without any structure probe a constant share of the lists, whatever their number: for
+them there are so few that ``MEAN_PROBES`` suffice, which bounds the rows that are
+dealt out for a vector.
+Lists are searched in blocks of ``BLOCK`` members and ``QUERIES`` queries. A block
+returns the numbers of links that it finds for its vectors and a spanning forest of
+the links, not all pairs.
+The quantiser is fitted on ``SAMPLE_PER_LIST`` classes a list; every vector is indexed.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite
 components, and those with a null label, link with nothing; vectors of different
@@ -37,14 +42,21 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.common import connected_components, remove, written
 from tidemill.llm.simhash import forest
-from tidemill.llm.vectors import kmeans, sample, squared, stack, unit, valid
+from tidemill.llm.vectors import kmeans, kmeans_two_level, sample, squared, stack, unit, valid
 
 THRESHOLD = 0.98
-SAMPLE = 8192
-LISTS = 256
+ROWS_PER_LIST = 512
+LEAST_LISTS = 16
+#: Where the sample's vectors would probe more lists than this, fewer are made.
+MEAN_PROBES = 48
+MOST_LISTS = 4096
+SAMPLE_PER_LIST = 8
 PARTS = 8
 WORDS = 16
-BLOCK = 256
+BLOCK = 512
+QUERIES = 4096
+#: Queries whose distances to a block are held at once.
+TILE = 256
 SLACK = 1e-9
 
 
@@ -62,7 +74,7 @@ class Quantiser:
         """The home list of each row, and which lists (columns) it probes."""
         d = squared(x, self.centres)
         home = d.argmin(axis=1)
-        apart = np.sqrt(squared(self.centres, self.centres))[home]
+        apart = np.sqrt(squared(self.centres[home], self.centres))
         return home, d - d[np.arange(len(x)), home][:, None] <= 2 * self.radius * apart + SLACK
 
     def tables(self, residual: np.ndarray) -> list[np.ndarray]:
@@ -84,15 +96,26 @@ class Quantiser:
         return np.sqrt(total) <= self.radius + errors[None, :] + 1e-6
 
 
-def fit(vectors: list, threshold: float = THRESHOLD) -> Quantiser | None:
-    if not vectors:
+def n_lists(classes: int) -> int:
+    return int(np.clip(classes // ROWS_PER_LIST, LEAST_LISTS, MOST_LISTS))
+
+
+def fit(vectors: np.ndarray, threshold: float = THRESHOLD, lists: int = LEAST_LISTS) -> Quantiser | None:
+    if not len(vectors):
         return None
-    x = unit(stack(vectors))
-    centres = kmeans(x, min(LISTS, max(1, len(x) // 24)))
+    x = unit(np.asarray(vectors, dtype=np.float64))
+    radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
+    lists = min(lists, max(1, len(x) // 4))
+    while True:
+        centres = kmeans_two_level(x, lists)
+        _, probes = Quantiser(centres, [], np.empty(0), radius).lists(x[:512])
+        if lists <= LEAST_LISTS or (mean := float(probes.sum(axis=1).mean()) / 2) <= MEAN_PROBES:
+            break
+        lists = max(LEAST_LISTS, int(0.9 * lists * MEAN_PROBES / mean))
     residual = x - centres[squared(x, centres).argmin(axis=1)]
     cuts = np.linspace(0, x.shape[1], min(PARTS, x.shape[1]) + 1).astype(int)
-    words = [kmeans(residual[:, a:b], WORDS) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return Quantiser(centres, words, cuts, float(np.sqrt(max(0.0, 2 - 2 * threshold))))
+    words = [kmeans(residual[:8192, a:b], WORDS) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return Quantiser(centres, words, cuts, radius)
 
 
 ASSIGNED = "label {label}, dim int, cell int, look int, home boolean, cid bigint, m bigint, embedding {vector}, codes binary, error double"
@@ -106,14 +129,16 @@ def _assign(classes: DataFrame, quantiser) -> DataFrame:
         q = quantiser.value
         for pdf in frames:
             for dim, part in pdf.groupby(pdf["embedding"].map(len)):
-                for i in range(0, len(part), 1024):
-                    yield _assigned(part.iloc[i : i + 1024], int(dim), q)
+                # So many that the distances to all centres, and the rows made, stay small.
+                step = max(16, min(1024, (1 << 20) // max(1, len(q.centres) if q is not None else 1)))
+                for i in range(0, len(part), step):
+                    yield from _assigned(part.iloc[i : i + step], int(dim), q)
 
     types = {k: classes.schema[c].dataType.simpleString() for k, c in (("label", "label"), ("vector", "embedding"))}
     return classes.select("label", "cid", "m", "embedding").mapInPandas(run, ASSIGNED.format(**types))
 
 
-def _assigned(part: pd.DataFrame, dim: int, q: Quantiser | None) -> pd.DataFrame:
+def _assigned(part: pd.DataFrame, dim: int, q: Quantiser | None) -> Iterator[pd.DataFrame]:
     x = unit(stack(part["embedding"]))
     if q is None or q.centres.shape[1] != dim:
         home, probes = np.zeros(len(x), int), np.ones((len(x), 1), bool)
@@ -124,9 +149,10 @@ def _assigned(part: pd.DataFrame, dim: int, q: Quantiser | None) -> pd.DataFrame
         codes = [c.tobytes() for c in coded]
     who, cell = np.nonzero(probes & (np.arange(probes.shape[1])[None, :] <= home[:, None]))
     label, cid, m, vector = (part[c].to_numpy() for c in ("label", "cid", "m", "embedding"))
-    members = pd.DataFrame({"label": label, "dim": dim, "cell": home, "look": 0, "home": True, "cid": cid, "m": m, "embedding": vector, "codes": codes, "error": errors})
-    queries = pd.DataFrame({"label": label[who], "dim": dim, "cell": cell, "look": 1, "home": cell == home[who], "cid": cid[who], "m": m[who], "embedding": vector[who], "codes": None, "error": 0.0})
-    return pd.concat([members, queries], ignore_index=True)
+    yield pd.DataFrame({"label": label, "dim": dim, "cell": home, "look": 0, "home": True, "cid": cid, "m": m, "embedding": vector, "codes": codes, "error": errors})
+    for i in range(0, len(who), 16_384):
+        w, c = who[i : i + 16_384], cell[i : i + 16_384]
+        yield pd.DataFrame({"label": label[w], "dim": dim, "cell": c, "look": 1, "home": c == home[w], "cid": cid[w], "m": m[w], "embedding": vector[w], "codes": None, "error": 0.0})
 
 
 def _search(quantiser, threshold: float):
@@ -134,21 +160,26 @@ def _search(quantiser, threshold: float):
         q, members, queries = quantiser.value, pdf[pdf["look"] == 0], pdf[pdf["look"] == 1]
         if not len(members) or not len(queries):
             return pd.DataFrame({"cid": [], "links": [], "other": []})
-        x, y = unit(stack(queries["embedding"])), unit(stack(members["embedding"]))
-        a, b = queries["cid"].to_numpy(), members["cid"].to_numpy()
-        if len(members["codes"].iloc[0]):
-            codes = np.frombuffer(b"".join(members["codes"]), np.uint8).reshape(len(y), -1)
-            near = q.near(x, int(pdf["cell"].iloc[0]), codes, members["error"].to_numpy())
-        else:
-            near = np.ones((len(x), len(y)), bool)
-        near &= a[:, None] != b[None, :]
-        i, j = np.nonzero(near)
-        near[i, j] = (x[i] * y[j]).sum(axis=1) >= threshold
-        # Two vectors of one list meet in both roles, others once: these count for both.
-        guest = ~queries["home"].to_numpy()
-        links = np.concatenate([near @ members["m"].to_numpy(), near[guest].T @ queries["m"].to_numpy()[guest]])
-        counted, both = links > 0, np.concatenate([a, b])
-        edges = forest(a, b, near)
+        y, b, held = unit(stack(members["embedding"])), members["cid"].to_numpy(), members["m"].to_numpy()
+        codes = np.frombuffer(b"".join(members["codes"]), np.uint8).reshape(len(y), -1) if len(members["codes"].iloc[0]) else None
+        errors, cell = members["error"].to_numpy(), int(pdf["cell"].iloc[0])
+        asked, links, edges = [], [], []
+        of_members, joined = np.zeros(len(y), np.int64), np.arange(len(y))
+        for at in range(0, len(queries), TILE):
+            part = queries.iloc[at : at + TILE]
+            x, a = unit(stack(part["embedding"])), part["cid"].to_numpy()
+            near = q.near(x, cell, codes, errors) if codes is not None else np.ones((len(x), len(y)), bool)
+            near &= a[:, None] != b[None, :]
+            i, j = np.nonzero(near)
+            near[i, j] = (x[i] * y[j]).sum(axis=1) >= threshold
+            # Two vectors of one list meet in both roles, others once: these count for both.
+            guest = ~part["home"].to_numpy()
+            asked.append(a)
+            links.append(near @ held)
+            of_members += near[guest].T @ part["m"].to_numpy()[guest]
+            edges += forest(a, b, near, joined)
+        links, both = np.concatenate([*links, of_members]), np.concatenate([*asked, b])
+        counted = links > 0
         return pd.DataFrame(
             {"cid": np.concatenate([both[counted], [e[0] for e in edges]]), "links": np.concatenate([links[counted], np.zeros(len(edges))]), "other": [None] * int(counted.sum()) + [e[1] for e in edges]}
         ).astype({"cid": "int64", "links": "int64", "other": "Int64"})
@@ -164,11 +195,12 @@ def components(spark: SparkSession, vectors: DataFrame, threshold: float = THRES
     classes = part.groupBy("vkey", "label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m"))
     # The written table fixes the class numbers.
     classes = written(spark, classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    quantiser = spark.sparkContext.broadcast(fit(sample(classes, SAMPLE, "vkey"), threshold))
+    lists = n_lists(classes.count())
+    quantiser = spark.sparkContext.broadcast(fit(sample(classes, SAMPLE_PER_LIST * lists, "vkey"), threshold, lists))
     assigned = _assign(classes, quantiser)
     where = ["label", "dim", "cell"]
     counted = assigned.groupBy(*where).agg(F.sum(1 - F.col("look")).alias("members"), F.sum("look").alias("queries")).filter("members > 0 and queries > 0")
-    plan = written(spark, counted.select(*where, F.ceil(F.col("members") / BLOCK).cast("int").alias("nb"), F.ceil(F.col("queries") / BLOCK).cast("int").alias("mb")), "plan")
+    plan = written(spark, counted.select(*where, F.ceil(F.col("members") / BLOCK).cast("int").alias("nb"), F.ceil(F.col("queries") / QUERIES).cast("int").alias("mb")), "plan")
     mine = lambda n: F.pmod(F.xxhash64("cid"), F.col(n).cast("bigint")).cast("int")
     other = F.when(F.col("look") == 0, F.col("mb")).otherwise(F.col("nb"))
     # A left join can broadcast its right side only: the planner takes the left one for as

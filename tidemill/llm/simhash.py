@@ -183,10 +183,11 @@ def _key_rows(classes: DataFrame, look: bool) -> DataFrame:
     return classes.select("fp").mapInArrow(run, "key bigint, fp bigint")
 
 
-def forest(a: np.ndarray, b: np.ndarray, near: np.ndarray) -> list[tuple[int, int]]:
+def forest(a: np.ndarray, b: np.ndarray, near: np.ndarray, part: np.ndarray | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the links ``near`` (rows: a, columns: b). A row is
-    linked to one member of each part of the graph that it joins."""
-    part = np.arange(len(b))  # of each column
+    linked to one member of each part of the graph that it joins. ``part``: the parts
+    of the columns so far, which this changes."""
+    part = np.arange(len(b)) if part is None else part
     out = []
     for i in range(len(a)):
         js = np.flatnonzero(near[i])
@@ -202,12 +203,12 @@ def forest(a: np.ndarray, b: np.ndarray, near: np.ndarray) -> list[tuple[int, in
 def _block_links(pdf: pd.DataFrame) -> pd.DataFrame:
     stored = pdf.loc[pdf["look"] == 0, "fp"].to_numpy()
     looks = pdf.loc[pdf["look"] == 1, "fp"].to_numpy()
-    out = []
+    out, joined = [], np.arange(len(stored))
     if len(stored):
         for i in range(0, len(looks), 512):
             part = looks[i : i + 512]
             near = np.bitwise_count(part.view(np.uint64)[:, None] ^ stored.view(np.uint64)[None, :]) <= MAX_BITS
-            out += forest(part, stored, near)
+            out += forest(part, stored, near, joined)
     return pd.DataFrame([(x, y) for x, y in out if x != y], columns=["a", "b"], dtype="int64")
 
 
