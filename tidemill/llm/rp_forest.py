@@ -11,21 +11,27 @@ Members and queries of a leaf meet in blocks of bounded size, and a block return
 k rows a query. Scores are sums of products of doubles, one row at a time, so that
 equal vectors have equal scores.
 
-The number of leaves is fixed and VISITS is a share of it: for data without any
-structure (independent directions) recall needs a constant share of the rows. A
-leaf holds LEAF vectors of the sample at least, so that small tables are searched
-as a whole and every query finds k rows where there are as many.
+The depth grows with the rows, a leaf having ``ROWS_PER_LEAF`` of them, and VISITS is
+what recall needs: the k nearest rows of ``TRIED`` vectors are found by brute force in
+one pass over the table, and so many leaves are taken that ``RECALL`` of these rows lie
+in them. For data without any
+structure (independent directions) recall needs a constant share of the rows, whatever
+the trees: where more than ``SHARE`` of the leaves would be needed, shallow trees of
+``DEPTH`` are searched with ``VISITS`` visits, which reads most rows, in few large
+blocks. A leaf holds LEAF vectors of the sample at least, so that small tables are
+searched as a whole and every query finds k rows where there are as many.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite
-components, those with a null id and those whose length isn't the sample's most
-common one take no part. Candidates exclude every row with the query's id; rows
-that share an id count once, with their best score. Extra columns are never read.
+components and those with a null id take no part. Vectors of different length are
+not compared; lengths other than the sample's most common one are searched as a whole,
+each by itself. Candidates exclude every row with the query's id; rows that share an
+id count once, with their best score. Extra columns are never read.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,8 +46,14 @@ from tidemill.llm.vectors import sample, stack, valid
 SAMPLE = 16_384
 TREES = 4
 DEPTH = 5
-LEAF = 64
+LEAF = 16
 VISITS = 48
+ROWS_PER_LEAF = 1024
+MOST_DEPTH = 9
+RECALL = 0.95
+SHARE = 0.15
+#: Vectors by which recall is measured.
+TRIED = 64
 MEMBERS = 4096
 QUERIES = 512
 SLACK = 1e-9
@@ -101,6 +113,10 @@ class Forest:
                     stack_ += [(tree.children[node][0], part[low]), (tree.children[node][1], part[~low])]
         return out
 
+    def count(self) -> int:
+        """The leaves of all trees."""
+        return sum(sum(n is not None for n in t.leaves) for t in self.trees)
+
     def visits(self, query: np.ndarray, n: int) -> list[tuple[int, int]]:
         """The (tree, leaf) that the shared queue takes first. The query is scaled
         to the largest norm, which doesn't change its order of candidates."""
@@ -119,38 +135,98 @@ class Forest:
         return out
 
 
-def fit(vectors: list, largest: float, trees: int = TREES, depth: int = DEPTH, seed: int = 11) -> Forest | None:
-    if not vectors:
+def fit(vectors: np.ndarray, largest: float, trees: int = TREES, depth: int = DEPTH, seed: int = 11) -> Forest | None:
+    if not len(vectors):
         return None
-    x = stack(vectors)
+    x = np.asarray(vectors, dtype=np.float64)
     rest = np.sqrt(np.maximum(largest**2 - (x * x).sum(axis=1), 0))
     raised = np.concatenate([x, rest[:, None]], axis=1)
     random = np.random.default_rng(seed)
     return Forest([_grow(raised, depth, random) for _ in range(trees)], x.shape[1], largest)
 
 
+def nearest(rows: DataFrame, k: int, tried: int = TRIED) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Some vectors, each with its k nearest rows by brute force. A task returns k rows
+    for each of them."""
+    some = rows.select("vec_id", "embedding").orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id", "embedding").limit(tried).collect()
+    size = len(some[0].embedding) if some else 0
+    ids, x = np.array([r.vec_id for r in some if len(r.embedding) == size]), [r.embedding for r in some if len(r.embedding) == size]
+    if not len(ids):
+        return []
+    queries = stack(x)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = [pd.DataFrame({"q": [], "score": [], "embedding": []})] * len(ids)
+        for pdf in frames:
+            pdf = pdf[pdf["embedding"].map(len) == size]
+            if not len(pdf):
+                continue
+            scores = stack(pdf["embedding"]) @ queries.T
+            scores[pdf["vec_id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
+            for q in range(len(ids)):
+                top = np.argsort(-scores[:, q], kind="stable")[:k]
+                top = top[scores[top, q] > -np.inf]
+                here = pd.DataFrame({"q": q, "score": scores[top, q], "embedding": pdf["embedding"].to_numpy()[top]})
+                best[q] = pd.concat([best[q], here] if len(best[q]) else [here]).nlargest(k, "score")
+        yield from best
+
+    found = rows.select("vec_id", "embedding").mapInPandas(run, f"q int, score double, embedding {rows.schema['embedding'].dataType.simpleString()}")
+    order = Window.partitionBy("q").orderBy(F.desc("score"))
+    got = found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k).select("q", "embedding").collect()
+    return [(queries[q], stack(mine)) for q in range(len(ids)) if (mine := [r.embedding for r in got if r.q == q])]
+
+
+def needed_visits(forest: Forest, known: list[tuple[np.ndarray, np.ndarray]], recall: float = RECALL) -> int:
+    """The fewest visits by which ``recall`` of the nearest rows are found."""
+    total = forest.count()
+    found = np.zeros(total + 1)
+    for query, rows in known:
+        turn = {leaf: n for n, leaf in enumerate(forest.visits(query, total), 1)}
+        first = [min(turn[t, leaf] for t, leaf in enumerate(row)) for row in forest.leaves(rows).tolist()]
+        found += np.bincount(first, minlength=total + 1)
+    return max(1, int(np.searchsorted(np.cumsum(found) / max(1.0, found.sum()), recall)))
+
+
+def plan(x: np.ndarray, largest: float, rows: int, known: Callable[[], list[tuple[np.ndarray, np.ndarray]]]) -> tuple[Forest | None, int]:
+    """A forest for a table of ``rows`` rows, fitted on ``x``, and how many of its leaves
+    to visit. ``known``: some vectors with their nearest rows."""
+    depth = int(np.clip(np.ceil(np.log2(max(rows, 1) / ROWS_PER_LEAF)), 0, MOST_DEPTH))
+    if len(x) > 1 and depth > DEPTH:
+        deep = fit(x, largest, depth=depth)
+        visits = needed_visits(deep, [(q, r) for q, r in known() if len(q) == deep.size])
+        if visits <= SHARE * deep.count():
+            return deep, visits
+    return fit(x, largest), VISITS
+
+
 def _assign(rows: DataFrame, forest, visits: int) -> DataFrame:
-    """Member rows (one for each tree) and query rows (one for each leaf visited)."""
+    """Member rows (one for each tree) and query rows (one for each leaf visited).
+    Vectors of another length are in a leaf of their own of a tree -1."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         f = forest.value
-        if f is None:
-            return
         for pdf in frames:
-            pdf = pdf[pdf["embedding"].map(len) == f.size]
-            for i in range(0, len(pdf), 512):
-                part = pdf.iloc[i : i + 512]
-                x, ids = stack(part["embedding"]), part["vec_id"].to_numpy()
-                leaf = f.leaves(x)
-                n, t = leaf.shape
-                who = np.repeat(np.arange(n), t)
-                out = [pd.DataFrame({"tree": np.tile(np.arange(t), n), "leaf": leaf.ravel(), "look": 0, "vec_id": ids[who], "embedding": [x[w] for w in who]})]
-                for r in np.flatnonzero(part["is_query"].to_numpy()):
-                    taken = f.visits(x[r], visits)
-                    out.append(pd.DataFrame({"tree": [a for a, _ in taken], "leaf": [b for _, b in taken], "look": 1, "vec_id": ids[r], "embedding": [x[r]] * len(taken)}))
-                yield pd.concat(out, ignore_index=True)
-
-    return rows.mapInPandas(run, "tree int, leaf int, look int, vec_id bigint, embedding array<double>")
+            for dim, group in pdf.groupby(pdf["embedding"].map(len)):
+                for i in range(0, len(group), 256):
+                    part = group.iloc[i : i + 256]
+                    asks = np.flatnonzero(part["is_query"].to_numpy())
+                    if f is None or dim != f.size:
+                        home, taken = np.full((len(part), 1), dim), [[(-1, dim)]] * len(asks)
+                    else:
+                        x = stack(part["embedding"])
+                        home, taken = f.leaves(x), [f.visits(x[r], visits) for r in asks]
+                    n, t = home.shape
+                    trees = np.arange(t) if dim == getattr(f, "size", None) else np.array([-1])
+                    yield _rows(part, np.repeat(np.arange(n), t), np.tile(trees, n), home.ravel(), 0)
+                    if len(asks):
+                        where = np.array([w for leaves in taken for w in leaves])
+                        yield _rows(part, np.repeat(asks, [len(leaves) for leaves in taken]), where[:, 0], where[:, 1], 1)
+
+    return rows.mapInPandas(run, f"tree int, leaf int, look int, vec_id bigint, embedding {rows.schema['embedding'].dataType.simpleString()}")
+
+
+def _rows(part: pd.DataFrame, who: np.ndarray, tree: np.ndarray, leaf: np.ndarray, look: int) -> pd.DataFrame:
+    return pd.DataFrame({"tree": tree, "leaf": leaf, "look": look, "vec_id": part["vec_id"].to_numpy()[who], "embedding": part["embedding"].to_numpy()[who]})
 
 
 def _best(k: int):
@@ -180,24 +256,25 @@ def _best(k: int):
     return run
 
 
-def search(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 20, visits: int = VISITS) -> DataFrame:
+def search(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 20, visits: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query, nearest
-    first, ties to the smaller id."""
+    first, ties to the smaller id. ``visits``: leaves to take, else what recall needs."""
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding", is_query.alias("is_query")).filter(valid() & F.col("vec_id").isNotNull())
     norm = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    largest = rows.agg(F.max(F.sqrt(norm))).first()[0] or 0.0
-    forest = spark.sparkContext.broadcast(fit(sample(rows, SAMPLE, "vec_id"), largest))
-    assigned = _assign(rows, forest, visits)
+    total, largest = rows.agg(F.count("*"), F.max(F.sqrt(norm))).first()
+    grown, needed = plan(sample(rows, SAMPLE, "vec_id"), largest or 0.0, total, lambda: nearest(rows, k))
+    assigned = _assign(rows, spark.sparkContext.broadcast(grown), visits or needed)
     counted = assigned.groupBy("tree", "leaf").agg(F.sum(1 - F.col("look")).alias("members"), F.sum("look").alias("queries")).filter("members > 0 and queries > 0")
-    plan = written(spark, counted.select("tree", "leaf", F.ceil(F.col("members") / MEMBERS).cast("int").alias("nb"), F.ceil(F.col("queries") / QUERIES).cast("int").alias("mb")), "leaves")
+    leaves = written(spark, counted.select("tree", "leaf", F.ceil(F.col("members") / MEMBERS).cast("int").alias("nb"), F.ceil(F.col("queries") / QUERIES).cast("int").alias("mb")), "leaves")
     is_member = F.col("look") == 0
     mine = F.pmod(F.xxhash64("vec_id"), F.when(is_member, F.col("nb")).otherwise(F.col("mb")).cast("bigint")).cast("int")
-    # Leaves are at most TREES * 2^DEPTH rows, so that this side can be broadcast.
-    dealt = assigned.join(F.broadcast(plan), ["tree", "leaf"]).withColumn("own", mine)
+    # At most TREES * 2^MOST_DEPTH leaves and a row for each other length: this side can
+    # be broadcast.
+    dealt = assigned.join(F.broadcast(leaves), ["tree", "leaf"]).withColumn("own", mine)
     dealt = dealt.withColumn("facing", F.explode(F.sequence(F.lit(0), F.when(is_member, F.col("mb")).otherwise(F.col("nb")) - 1)))
     dealt = dealt.withColumns({"i": F.when(is_member, F.col("own")).otherwise(F.col("facing")), "j": F.when(is_member, F.col("facing")).otherwise(F.col("own"))})
     found = dealt.groupBy("tree", "leaf", "i", "j").applyInPandas(_best(k), "query_id bigint, vec_id bigint, score double")
     # Dealt by query once, which serves the grouping and the window.
     distinct = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return distinct.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return distinct.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,14 +24,18 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def sample(rows: DataFrame, n: int, key: str, column: str = "embedding") -> list:
-    """At most ``n`` vectors of the most common length, by a hash of ``key``."""
-    got = rows.select(F.xxhash64(key).alias("h"), key, column).orderBy("h", key, column).limit(n).collect()
-    if not got:
-        return []
-    lengths = [len(r[column]) for r in got]
-    common = max(set(lengths), key=lambda k: (lengths.count(k), k))
-    return [r[column] for r in got if len(r[column]) == common]
+def sample(rows: DataFrame, n: int, key: str, column: str = "embedding") -> np.ndarray:
+    """At most ``n`` vectors of the most common length, by a hash of ``key``, as rows
+    of doubles."""
+    got = rows.select(F.xxhash64(key).alias("h"), key, column).orderBy("h", key, column).limit(n).select(column).toArrow()
+    lists = got.column(0).combine_chunks()
+    lengths = np.diff(lists.offsets.to_numpy()) if len(lists) else np.empty(0, np.int64)
+    if not len(lengths):
+        return np.empty((0, 0))
+    values, counts = np.unique(lengths, return_counts=True)
+    common = int(values[len(counts) - 1 - counts[::-1].argmax()])
+    flat = lists.filter(pa.array(lengths == common)).flatten()
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, common)
 
 
 def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -50,3 +55,14 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -> np.ndarray
             if (mine := nearest == c).any():
                 centres[c] = x[mine].mean(axis=0)
     return centres
+
+
+def kmeans_two_level(x: np.ndarray, k: int) -> np.ndarray:
+    """About ``k`` centres: those of some sqrt(k) parts, each cut again by its share
+    of the rows."""
+    if k <= 64 or len(x) <= k:
+        return kmeans(x, k)
+    top = kmeans(x, int(np.sqrt(k)))
+    part = squared(x, top).argmin(axis=1)
+    shares = [(x[part == c], max(1, round(k * float((part == c).mean())))) for c in range(len(top))]
+    return np.concatenate([kmeans(mine, n) for mine, n in shares if len(mine)])
