@@ -50,12 +50,12 @@ def momentum(x: ColumnOrName, n: int, w: WindowSpec) -> Column:
 
 
 def rank_pct(x: ColumnOrName, partition: list[ColumnOrName] = ()) -> Column:
-    """Share of the non-null values up to x, ties at their mean rank."""
+    """Share of the non-null values up to x, ties at their mean rank. One exchange
+    and one sort serve the rank, the ties and the number of values."""
     x = col(x)
-    keys = [col(p) for p in partition]
-    ordered = Window.partitionBy(*keys, x.isNull()).orderBy(x)
-    tied = Window.partitionBy(*keys, x)
-    every = Window.partitionBy(*keys)
+    ordered = Window.partitionBy(*[col(p) for p in partition]).orderBy(x.asc_nulls_last())
+    tied = ordered.rangeBetween(Window.currentRow, Window.currentRow)
+    every = ordered.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rank = F.rank().over(ordered).cast("double") + (F.count(F.lit(1)).over(tied).cast("double") - 1.0) / 2.0
     return F.when(x.isNotNull(), rank / F.count(x).over(every).cast("double"))
 
@@ -63,26 +63,14 @@ def rank_pct(x: ColumnOrName, partition: list[ColumnOrName] = ()) -> Column:
 def ewm(values: np.ndarray, alpha: float) -> np.ndarray:
     """y = y + alpha (x - y) from the first value on; over a gap the old weight
     decays once for each missing row."""
-    out, y, weight = np.full(len(values), np.nan), np.nan, 1.0
-    for i, x in enumerate(values):
-        if np.isnan(x):
-            weight *= 1.0 - alpha
-            out[i] = y
-        elif np.isnan(y):
-            out[i] = y = x
-            weight = 1.0
-        else:
-            weight *= 1.0 - alpha
-            y = (weight * y + alpha * x) / (weight + alpha)
-            out[i] = y
-            weight = 1.0
-    return out
+    return pd.Series(values).ewm(alpha=alpha, adjust=False, ignore_na=False).mean().to_numpy()
 
 
 def with_ewm(df: DataFrame, columns: dict[str, tuple[str, float]], code: str | None = "code", time: str = "trade_date", keep: list[str] | None = None) -> DataFrame:
     """``df`` with new columns: name -> (input, alpha); an input can be one made
     before it. A recurrence has no bounded frame, so that each series is one
-    pandas group; a series is as long as its history, not as the table."""
+    pandas group; a series is as long as its history, not as the table. ``code`` None
+    takes the whole frame for one series, which one task then computes."""
     names = list(columns)
     kept = keep or df.columns
     schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + [f"`{n}` double" for n in names])

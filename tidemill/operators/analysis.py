@@ -69,9 +69,22 @@ def running_total(df: DataFrame, order: str, amount: str, out: str, ranges: int
     return joined.withColumn(out, F.col("_base") + F.col("_in")).drop("_range", "_r", "_base", "_in")
 
 
+def quantiles(df: DataFrame, column: str, shares: list[float]) -> DataFrame:
+    """One row, _q: exact interpolated quantiles of a whole frame. Places come from the
+    running counts of the distinct values, in ranges, so that no task holds them all."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_all"))
+    placed = running_total(counts, "_value", "_n", "_before").crossJoin(F.broadcast(total))
+    at = lambda place: F.max(F.when((F.col("_before") <= place) & (place < F.col("_before") + F.col("_n")), F.col("_value")))
+    place = [F.lit(s) * (F.col("_all") - 1).cast("double") for s in shares]
+    found = placed.agg(*[at(f(p)).alias(f"_{k}{i}") for i, p in enumerate(place) for k, f in (("low", F.floor), ("high", F.ceil))], F.max("_all").alias("_all"))
+    weights = [p - F.floor(p) for p in place]
+    return found.select(F.array(*[F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * w for i, w in enumerate(weights)]).alias("_q"))
+
+
 def winsorize(df: DataFrame, column: str, out: str, low: float = 0.01, high: float = 0.99, by: list[str] = ()) -> DataFrame:
     """Clipped to interpolated quantiles."""
-    one = df.groupBy(*by).agg(F.percentile(column, [low, high]).alias("_q"))
+    one = df.groupBy(*by).agg(F.percentile(column, [low, high]).alias("_q")) if by else quantiles(df, column, [low, high])
     x = F.col(column)
     clipped = F.when(x.isNotNull(), F.least(F.greatest(x, F.col("_q")[0]), F.col("_q")[1]))
     return _join_one(df, one, list(by)).withColumn(out, clipped).drop("_q")
@@ -84,8 +97,9 @@ class Normalizer:
     params: dict = field(default_factory=dict)
 
     def fit(self, df: DataFrame, column: str) -> Normalizer:
-        row = df.agg(F.avg(column), F.stddev_samp(column), F.min(column), F.max(column), F.percentile(column, [0.01, 0.99])).first()
-        self.params[column] = {"mean": row[0], "std": row[1], "min": row[2], "max": row[3], "low": row[4][0] if row[4] else None, "high": row[4][1] if row[4] else None}
+        row = df.agg(F.avg(column), F.stddev_samp(column), F.min(column), F.max(column)).first()
+        low, high = quantiles(df, column, [0.01, 0.99]).first()[0]
+        self.params[column] = {"mean": row[0], "std": row[1], "min": row[2], "max": row[3], "low": low, "high": high}
         return self
 
     def apply(self, df: DataFrame, column: str, method: str, out: str) -> DataFrame:

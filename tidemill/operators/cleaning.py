@@ -6,8 +6,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions import scalars, series
@@ -91,8 +92,13 @@ def futures(df: DataFrame, as_of=None, per_underlying: bool = False) -> DataFram
     """is_main_contract: the largest volume of the day (ties all), of all contracts
     unless ``per_underlying``."""
     if has(df, "code", "volume", "trade_date"):
-        day = Window.partitionBy("trade_date", *(["underlying"] if per_underlying else []))
-        df = df.withColumn("is_main_contract", _true(F.col("volume") == F.max("volume").over(day)))
+        day = ["trade_date", *(["underlying"] if per_underlying else [])]
+        # Largest volumes are combined before they are dealt out; a window would put all
+        # rows of a day into one task.
+        largest = df.groupBy(*[F.col(c).alias(f"_{c}") for c in day]).agg(F.max("volume").alias("_largest"))
+        same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in day))
+        df = df.join(largest, same, "left").withColumn("is_main_contract", _true(F.col("volume") == F.col("_largest")))
+        df = df.drop("_largest", *[f"_{c}" for c in day])
     if has(df, "expiry_date"):
         df = df.withColumn("near_delivery", _true(F.col("expiry_date") <= F.date_add(_as_of(as_of), 30)))
     if has(df, "open_interest", "code", "trade_date"):

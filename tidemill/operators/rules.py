@@ -26,14 +26,20 @@ def _groups(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
 
 
+def _with_samples(one: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """``one`` (a row) with the first ``SAMPLES`` texts of ``found`` (value) as an array.
+    Each task passes on so many rows, not all that it has."""
+    first = found.select(F.col("value").cast("string").alias("value")).orderBy("value").limit(SAMPLES)
+    return one.crossJoin(F.broadcast(first.agg(F.array_sort(F.collect_list("value")).alias(name))))
+
+
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Rows beyond the first of each value; nulls are equal."""
     if (bad := _missing(df, "unique", [column])) is not None:
         return bad
-    copies = _groups(df, [column]).agg(
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("v"),
-        F.slice(F.array_sort(F.collect_set(F.when(F.col("_n") > 1, F.col(column).cast("string")))), 1, SAMPLES).alias("samples"),
-    )
+    groups = _groups(df.select(F.col(column).alias("value")), ["value"])
+    copies = groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("v"))
+    copies = _with_samples(copies, groups.filter("_n > 1 and value is not null"), "samples")
     return _result(copies, "unique", F.col("v"), F.to_json(F.struct("samples")))
 
 
@@ -85,8 +91,8 @@ def accepted_values(df: DataFrame, column: str, accepted: list) -> DataFrame:
     """Distinct non-null values that aren't accepted."""
     if (bad := _missing(df, "accepted_values", [column])) is not None:
         return bad
-    odd = df.select(column).filter(F.col(column).isNotNull() & ~F.col(column).isin(*accepted)).distinct()
-    one = odd.agg(F.count(F.lit(1)).alias("v"), F.slice(F.array_sort(F.collect_set(F.col(column).cast("string"))), 1, SAMPLES).alias("invalid"))
+    odd = df.select(F.col(column).alias("value")).filter(F.col("value").isNotNull() & ~F.col("value").isin(*accepted)).distinct()
+    one = _with_samples(odd.agg(F.count(F.lit(1)).alias("v")), odd, "invalid")
     return _result(one, "accepted_values", F.col("v"), F.to_json(F.struct("invalid")))
 
 
