@@ -133,19 +133,13 @@ def dirty(spark: SparkSession, d: str) -> DataFrame:
     return b.union(b.filter(day() == 11))
 
 
-def _of_year(rows: DataFrame, year: int | None) -> DataFrame:
-    """``rows`` of a year, or all for None."""
-    return rows if year is None else rows.filter(F.year("trade_date") == year)
+def source_a(spark: SparkSession, d: str) -> DataFrame:
+    return bars(spark, d).select("code", "trade_date", "close", "volume", F.concat(F.lit(" Co "), "code").alias("name"))
 
 
-def source_a(spark: SparkSession, d: str, year: int | None = 1995) -> DataFrame:
-    """All bars for year None; 1995 is the cut that ``SQL`` has."""
-    return _of_year(bars(spark, d), year).select("code", "trade_date", "close", "volume", F.concat(F.lit(" Co "), "code").alias("name"))
-
-
-def source_b(spark: SparkSession, d: str, year: int | None = 1995) -> DataFrame:
+def source_b(spark: SparkSession, d: str) -> DataFrame:
     """A disturbed copy: codes gone and added, prices shifted, names in other case."""
-    a = _of_year(bars(spark, d), year)
+    a = bars(spark, d)
     n = code_number()
     kept = a.filter(n % 10 != 0).select(
         F.when(n % 23 == 0, F.concat(F.lit("x"), F.col("code"))).otherwise(F.col("code")).alias("code"),
@@ -210,13 +204,13 @@ FROM (SELECT CAST(c_nationkey AS VARCHAR) AS code, CAST(year(o_orderdate) AS VAR
   CASE WHEN {_N} % 9 = 0 THEN '*St ' || code ELSE 'co ' || code END AS name FROM bars""",
     ),
     "dirty": (("dirty1",), f"SELECT * FROM dirty1 UNION ALL SELECT * FROM dirty1 WHERE {_DAY} = 11"),
-    "source_a": (("bars",), "SELECT code, trade_date, close, volume, ' Co ' || code AS name FROM bars WHERE year(trade_date) = 1995"),
+    "source_a": (("bars",), "SELECT code, trade_date, close, volume, ' Co ' || code AS name FROM bars"),
     "source_b": (
         ("bars",),
         f"""SELECT CASE WHEN {_N} % 23 = 0 THEN 'x' || code ELSE code END AS code, trade_date,
   CASE WHEN {_DAY} % 7 = 0 THEN close + ({_N} % 4) * 40.0::DOUBLE WHEN {_DAY} = 5 AND {_N} % 3 = 0 THEN NULL ELSE close END AS close,
   CASE WHEN {_DAY} = 8 THEN volume + 2000 ELSE volume END AS volume, CASE WHEN {_N} % 6 = 0 THEN 'other' ELSE upper('co ' || code) END AS name
-FROM bars WHERE year(trade_date) = 1995 AND {_N} % 10 <> 0""",
+FROM bars WHERE {_N} % 10 <> 0""",
     ),
 }
 
@@ -234,5 +228,5 @@ def with_views(names: str, select: str, recursive: bool = False) -> str:
 
     for n in names.split():
         add(n)
-    views = ",\n".join(f"{n} AS ({SQL[n][1]})" for n in order)
+    views = ",\n".join(f"{n} AS MATERIALIZED ({SQL[n][1]})" for n in order)
     return f"WITH {'RECURSIVE ' if recursive else ''}{views}\n{select}" if not select.lstrip().startswith(",") else f"WITH {'RECURSIVE ' if recursive else ''}{views}{select}"

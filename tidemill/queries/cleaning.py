@@ -163,16 +163,19 @@ def option_status_counts(spark, d):
 _CELLS = "open high low close volume amount adj_factor name code trade_date".split()
 
 
-@query(
-    "k8_quality",
-    with_views(
-        "dirty",
-        f""", g AS (SELECT *, count(*) AS n FROM dirty GROUP BY ALL),
+_SCORES = f"""g AS (SELECT *, count(*) AS n FROM dirty GROUP BY ALL),
 q AS (SELECT CAST(sum(n) AS BIGINT) AS total, sum(n * ({' + '.join(f'CASE WHEN {c} IS NULL THEN 1 ELSE 0 END' for c in _CELLS)}))::DOUBLE AS nulls, sum(n - 1)::DOUBLE AS copies, max(trade_date) AS latest,
   (max(CASE WHEN open < 0 THEN 1 ELSE 0 END) + max(CASE WHEN high < 0 THEN 1 ELSE 0 END) + max(CASE WHEN high < low THEN 1 ELSE 0 END) + max(CASE WHEN low < 0 THEN 1 ELSE 0 END) + max(CASE WHEN close < 0 THEN 1 ELSE 0 END) + max(CASE WHEN volume < 0 THEN 1 ELSE 0 END))::DOUBLE AS bad FROM g),
 p AS (SELECT total, (1 - nulls / (total * {len(_CELLS)})) * 100 AS completeness, (1 - copies / total) * 100 AS consistency,
   CASE WHEN DATE '{AS_OF}' - latest <= 0 THEN 100.0::DOUBLE WHEN DATE '{AS_OF}' - latest >= 60 THEN 0.0::DOUBLE ELSE 100 - (DATE '{AS_OF}' - latest)::DOUBLE / 60 * 100 END AS timeliness, greatest(0.0::DOUBLE, (1 - bad / 5) * 100) AS accuracy FROM q),
-s AS (SELECT *, completeness * 0.3::DOUBLE + consistency * 0.25::DOUBLE + timeliness * 0.2::DOUBLE + accuracy * 0.25::DOUBLE AS score FROM p)
+s AS (SELECT *, completeness * 0.3::DOUBLE + consistency * 0.25::DOUBLE + timeliness * 0.2::DOUBLE + accuracy * 0.25::DOUBLE AS score FROM p)"""
+
+
+@query(
+    "k8_quality",
+    with_views(
+        "dirty",
+        f""", {_SCORES}
 SELECT total AS total_records, round(completeness, 6) AS completeness, round(consistency, 6) AS consistency, round(timeliness, 6) AS timeliness, round(accuracy, 6) AS accuracy, round(score, 6) AS quality_score,
   CASE WHEN score >= 90 THEN 'A' WHEN score >= 70 THEN 'B' WHEN score >= 50 THEN 'C' ELSE 'D' END AS grade FROM s""",
     ),
@@ -197,12 +200,23 @@ def chain(spark, d):
     return df.select("code", "trade_date", "close", "volume", "is_st", "is_suspended", "ohlc_valid")
 
 
-@query("k_issues")
+@query(
+    "k_issues",
+    with_views(
+        "futures",
+        """SELECT i AS issue, coalesce(v, false) AS violated FROM (
+  SELECT '[universal] null code' AS i, bool_or(code IS NULL) AS v FROM futures WHERE code IS NOT NULL AND trade_date IS NOT NULL
+  UNION ALL SELECT '[universal] null trade_date', bool_or(trade_date IS NULL) FROM futures WHERE code IS NOT NULL AND trade_date IS NOT NULL
+  UNION ALL SELECT '[ohlc] invalid OHLC', bool_or(high < low OR high < open OR high < close OR open < low OR close < low OR open < 0 OR high < 0 OR low < 0 OR close < 0 OR volume < 0 OR amount < 0) FROM futures
+  UNION ALL SELECT '[futures] settle far from close', bool_or(abs((settle - close) / nullif(close, 0)) > 0.1) FROM futures
+  UNION ALL SELECT '[quality] quality_score out of range', false)""",
+    ),
+)
 def issues(spark, d):
     return cleaning.issues(cleaning.clean(views.futures(spark, d), as_of=AS_OF))
 
 
-@query("k_quality_rows", with_views("bars", "SELECT code, trade_date, round(100 * 0.3::DOUBLE + 100 * 0.25::DOUBLE + 100 * 0.2::DOUBLE + 100 * 0.25::DOUBLE, 6) AS quality_score FROM bars"))
+@query("k_quality_rows", with_views("dirty", f", {_SCORES} SELECT code, trade_date, round(score, 6) AS quality_score FROM dirty, s"))
 def quality_rows(spark, d):
-    scored = cleaning.quality(views.bars(spark, d), "1990-01-01")
+    scored = cleaning.quality(views.dirty(spark, d), AS_OF)
     return rounded(scored.select("code", "trade_date", "quality_score"), [])

@@ -242,7 +242,7 @@ def winsorize(spark, d):
     "n_normalized_factor",
     with_views(
         "bars",
-        f""", f AS (SELECT code, trade_date, close / nullif(lag(close, 20) OVER ({W}), 0) - 1 AS x FROM bars), s AS (SELECT avg(x) AS m, stddev_samp(x) AS sd, min(x) AS lo, max(x) AS hi FROM f)
+        f""", f AS MATERIALIZED (SELECT code, trade_date, close / nullif(lag(close, 20) OVER ({W}), 0) - 1 AS x FROM bars), s AS MATERIALIZED (SELECT avg(x) AS m, stddev_samp(x) AS sd, min(x) AS lo, max(x) AS hi FROM f)
 SELECT code, trade_date, round((x - m) / sd, 6) AS z, round((x - lo) / (hi - lo), 6) AS unit FROM f, s""",
     ),
 )

@@ -191,8 +191,8 @@ diffs AS (
 """
 
 
-def _diffs(spark, d, year=1995):
-    return diffs.field_diff(views.source_a(spark, d, year), views.source_b(spark, d, year), KEYS)
+def _diffs(spark, d):
+    return diffs.field_diff(views.source_a(spark, d), views.source_b(spark, d), KEYS)
 
 
 @query("d3_field_diff", with_views("source_a source_b", _FIELD + f'SELECT diff_type, severity, {_KEY} AS key, "column" FROM diffs'))
@@ -234,18 +234,25 @@ def at_least_high(spark, d):
 # --- resolution -------------------------------------------------------------------------
 
 
-def _conflicts(spark, d, year=1995):
-    c = _diffs(spark, d, year).filter("column = 'close'")
-    n = F.crc32("key")
-    return c.select(
-        "key", "column", "source_value", "target_value", F.when(n % 3 == 0, "akshare").otherwise("tushare").alias("source"), F.when(n % 2 == 0, "baostock").otherwise("other").alias("target"),
-        F.when(n % 5 != 0, F.timestamp_seconds((n % 1000).cast("bigint"))).alias("source_time"), F.when(n % 7 != 0, F.timestamp_seconds((n % 900).cast("bigint"))).alias("target_time"),
-    )
+def _conflicts(spark, d):
+    c = _diffs(spark, d).filter("column = 'close'")
+    n = F.substring_index("key", "|", 1).cast("bigint") + F.dayofmonth(F.substring_index("key", "|", -1).cast("date"))
+    return c.select("key", "column", "source_value", "target_value", F.when(n % 3 == 0, "akshare").otherwise("tushare").alias("source"), F.when(n % 2 == 0, "baostock").otherwise("other").alias("target"))
 
 
-@query("r1_priority")
+@query(
+    "r1_priority",
+    with_views(
+        "source_a source_b",
+        _FIELD
+        + f""", c AS (SELECT *, CAST(code AS BIGINT) + day(trade_date) AS n FROM j WHERE (ac IS NULL) <> (bc IS NULL) OR abs(ac - bc) > 1e-6),
+q AS (SELECT *, CASE WHEN n % 3 = 0 THEN 'akshare' ELSE 'tushare' END AS s, CASE WHEN n % 2 = 0 THEN 'baostock' ELSE 'other' END AS t, CASE WHEN n % 3 = 0 THEN 1 ELSE 3 END <= CASE WHEN n % 2 = 0 THEN 2 ELSE 999 END AS mine FROM c)
+SELECT {_KEY} AS key, CASE WHEN mine THEN ac ELSE bc END AS resolved_value, 'priority ' || CASE WHEN mine THEN s ELSE t END AS resolution_method, 0.9::DOUBLE AS confidence FROM q""",
+    ),
+)
 def by_priority(spark, d):
-    return resolve.priority(_conflicts(spark, d, None), {"akshare": 1, "baostock": 2, "tushare": 3}).select("key", "resolved_value", "resolution_method", "confidence")
+    done = resolve.priority(_conflicts(spark, d), {"akshare": 1, "baostock": 2, "tushare": 3})
+    return done.select("key", F.col("resolved_value").cast("double").alias("resolved_value"), "resolution_method", "confidence")
 
 
 @query(
@@ -301,10 +308,21 @@ def merge(spark, d):
     return resolve.merge(both).select("code", "trade_date", "resolved_value", "confidence")
 
 
-@query("r4_merge_custom", "SELECT 'close' AS \"column\", 11.0::DOUBLE AS resolved_value, 0.85::DOUBLE AS confidence UNION ALL SELECT 'open', 10.0::DOUBLE, 0.7::DOUBLE")
+@query(
+    "r4_merge_custom",
+    with_views(
+        "source_a source_b",
+        """, j AS (SELECT a.code, a.trade_date, a.close AS s, b.close AS t, day(a.trade_date) % 2 = 0 AS custom FROM source_a a JOIN source_b b ON a.code = b.code AND a.trade_date = b.trade_date)
+SELECT code, trade_date, CASE WHEN custom THEN (s + t) / 2 ELSE coalesce(s, t) END AS resolved_value,
+  CASE WHEN custom THEN 0.85::DOUBLE WHEN s IS NULL AND t IS NULL THEN 0.0::DOUBLE WHEN s IS NULL OR t IS NULL THEN 1.0::DOUBLE ELSE 0.7::DOUBLE END AS confidence FROM j""",
+    ),
+)
 def merge_custom(spark, d):
-    rows = spark.createDataFrame([("close", 10.0, 12.0), ("open", 10.0, 12.0)], "column string, source_value double, target_value double")
-    return resolve.merge(rows, {"close": lambda s, t: (s + t) / 2.0}).select("column", "resolved_value", "confidence")
+    """A rule of its own for one column: the mean of both sides."""
+    b = views.source_b(spark, d).select("code", "trade_date", F.col("close").alias("target_value"))
+    both = views.source_a(spark, d).join(b, ["code", "trade_date"]).withColumn("source_value", F.col("close"))
+    both = both.withColumn("column", F.when(F.dayofmonth("trade_date") % 2 == 0, "close").otherwise("open"))
+    return resolve.merge(both, {"close": lambda s, t: (s + t) / 2.0}).select("code", "trade_date", "resolved_value", "confidence")
 
 
 @query("r5_resolution_counts", with_views("source_a source_b", _FIELD + "SELECT count(*) AS total_conflicts, count(*) AS resolved_count, 1.0::DOUBLE AS resolution_rate FROM diffs WHERE \"column\" = 'close'"))
@@ -312,10 +330,21 @@ def resolution_counts(spark, d):
     return resolve.resolution_counts(resolve.priority(_conflicts(spark, d), {}))
 
 
-@query("r6_report")
+@query(
+    "r6_report",
+    with_views(
+        "source_a source_b",
+        _FIELD
+        + """, gone AS ((SELECT DISTINCT code, trade_date FROM source_a EXCEPT SELECT code, trade_date FROM source_b) UNION ALL (SELECT DISTINCT code, trade_date FROM source_b EXCEPT SELECT code, trade_date FROM source_a)),
+n AS (SELECT (SELECT count(*) FROM diffs) + (SELECT count(*) FROM gone) AS total, (SELECT count(*) FROM diffs WHERE severity = 'critical') AS critical, (SELECT count(*) FROM source_a) + (SELECT count(*) FROM source_b) AS rows),
+r AS (SELECT total / rows AS rate, critical FROM n), q AS (SELECT *, round(0.6::DOUBLE * greatest(0, 100 - 100 * rate) + 40, 2) AS score FROM r)
+SELECT score AS quality_score, CASE WHEN score >= 90 THEN 'A' WHEN score >= 70 THEN 'B' WHEN score >= 50 THEN 'C' ELSE 'D' END AS quality_grade, round(rate, 4) AS diff_rate,
+  CAST((rate >= 0.1)::INT + (critical >= 5)::INT AS INTEGER) AS alerts FROM q""",
+    ),
+)
 def quality_report(spark, d):
-    a, b = views.source_a(spark, d, None), views.source_b(spark, d, None)
-    found = _diffs(spark, d, None).unionByName(diffs.row_diff(a, b, KEYS))
+    a, b = views.source_a(spark, d), views.source_b(spark, d)
+    found = _diffs(spark, d).unionByName(diffs.row_diff(a, b, KEYS))
     summary = diffs.summarize(found, a.count(), b.count())
     resolved = report.ResolutionSummary(summary.value, summary.value, {"priority": summary.value})
     made = report.report("a", "b", summary, resolved)
