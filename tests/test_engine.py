@@ -442,3 +442,88 @@ def test_stores_hold_all_years(spark, data, all_bars, tmp_path, monkeypatch, nam
     assert len(stored) == len(all_bars) + extra
     changed = lambda r: name == "p3_upsert" and (r.trade_date.year, r.trade_date.month) == (1996, 3) and r.code < "000005"
     assert all(r.close == all_bars[r.code, r.trade_date] + changed(r) for r in stored if r.code != "new")
+
+
+STUB = """
+import pandas as pd
+
+def stock_zh_a_hist(symbol, period, start_date, end_date, adjust):
+    if symbol == "000404":
+        raise RuntimeError("no such code")
+    return pd.DataFrame({"日期": ["2025-01-02", "2025-01-03"], "开盘": [1.0, 2.0], "收盘": [1.5, float("nan")], "最高": [2.0, 3.0], "最低": [0.5, 1.0], "成交量": [10, 20], "成交额": [15.0, 40.0], "股票代码": [symbol] * 2})
+
+def stock_financial_abstract_ths(symbol):
+    return pd.DataFrame({"报告期": ["2024-09-30", "2024-12-31"], "净利润": ["1.5亿", "-20万"], "基本每股收益": ["0.5", "bad"], "净资产收益率": ["4.5%", None]})
+
+def query_history_k_data_plus(code, fields, start_date, end_date, frequency, adjustflag=None):
+    class Result:
+        error_code, error_msg, fields = "0", "", ["date", "code", "open", "high", "low", "close", "volume", "amount"]
+        rows = [["2025-01-02", code, "1.0", "2.0", "0.5", "1.5", "10", "15"]]
+        def next(self): return bool(self.rows)
+        def get_row_data(self): return self.rows.pop()
+    return Result()
+"""
+
+
+def test_readers_ask_a_vendor_for_each_code(spark, tmp_path):
+    from dataclasses import replace
+
+    from tidemill.sources import readers
+    from tidemill.sources.vendors import vendor
+
+    (tmp_path / "stub_market.py").write_text(STUB, encoding="utf-8")
+    spark.sparkContext.addPyFile(str(tmp_path / "stub_market.py"))
+    call = lambda *key: replace(readers.CALLS[key], module="stub_market", interval=0.0)
+    read = readers.reader("akshare", "daily", "stock", call("akshare", "daily", "stock"))
+    spec = fetch.FetchSpec("stock", "daily", ("000001.SZ", "600000.SH"), dt.date(2025, 1, 1), dt.date(2025, 1, 9))
+    got = vendor("akshare", "daily").map(read(spark, spec)).collect()
+    assert sorted((r.code, r.trade_date.day, r.close, r.volume) for r in got if r.close is not None) == [("000001.SZ", 2, 1.5, 10), ("600000.SH", 2, 1.5, 10)] and len(got) == 4
+    among = replace(spec, codes=(), among=spark.createDataFrame([("000001.SZ",)], "code string"))
+    assert read(spark, among).count() == 2
+    statements = vendor("akshare", "finance").map(readers.reader("akshare", "finance", "stock", call("akshare", "finance", "stock"))(spark, spec))
+    rows = sorted((r.code, r.report_period, r.report_type, r.net_profit, r.eps, r.roe) for r in statements.filter("code = '000001.SZ'").collect())
+    assert rows == [("000001.SZ", "2024Q3", "quarterly", 1.5e8, 0.5, 4.5), ("000001.SZ", "2024Q4", "annual", -2e5, None, None)]
+    index = vendor("baostock", "daily").map(readers.reader("baostock", "daily", "index", call("baostock", "daily", "index"))(spark, replace(spec, codes=("000001.SH",))))
+    assert [(r.code, r.close, r.volume) for r in index.collect()] == [("000001.SH", 1.5, 10)]
+    with pytest.raises(Exception, match="no such code"):
+        read(spark, replace(spec, codes=("000404.SZ",))).count()
+
+
+def test_calls_wait_and_try_again_when_limited(tmp_path, monkeypatch):
+    from tidemill.sources import readers
+
+    (tmp_path / "stub_limited.py").write_text("asked = []\ndef bars(code):\n    asked.append(code)\n    if len(asked) < 3: raise RuntimeError('Rate limit exceeded')\n", encoding="utf-8")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    waits: list = []
+    call = readers.Call("stub_limited", lambda m, c, s, e, f: m.bars(c), ("x",), interval=0.1)
+    assert list(readers.ask(call, "1", None, None, "daily", sleep=waits.append)) == [] and len(waits) == 3 and waits == sorted(waits)
+    broken = readers.Call("stub_limited", lambda m, c, s, e, f: (_ for _ in ()).throw(RuntimeError("too frequent")), ("x",), interval=0.0)
+    with pytest.raises(fetch.RateLimited):
+        list(readers.ask(broken, "1", None, None, "daily", sleep=waits.append))
+    assert all(c.schema().startswith("`code` string") for c in readers.CALLS.values())
+    from tidemill.sources.vendors import vendor
+
+    assert all(vendor(name, table) for name, table, _ in readers.CALLS)
+
+
+def test_a_source_that_takes_too_long_is_left(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    slow = F.udf(lambda x: time.sleep(30), "string")
+    with pytest.raises(fetch.SourceUnavailable, match="took more than"), fetch.time_limit(spark, 1.0, "slow"):
+        spark.range(1).select(slow("id")).collect()
+    with fetch.time_limit(spark, 30.0, "quick"):
+        assert spark.range(3).count() == 3
+
+
+def test_finance_landing_is_found(spark, tmp_path):
+    from tidemill import cli
+    from tidemill.plans.config import Config
+
+    raw = spark.createDataFrame([("000001.SZ", "20240930", "20241030", 0.5)], "ts_code string, end_date string, ann_date string, eps double")
+    raw.write.parquet(f"{tmp_path}/landing/tushare/finance")
+    sources = cli.registry(f"{tmp_path}/landing", Config(priorities={"finance": {"tushare": 1}}))
+    row = sources.primary("finance").fetch(spark, fetch.FetchSpec("stock", "finance")).first()
+    assert (row.code, row.report_period, row.pub_date) == ("000001.SZ", "2024Q3", dt.date(2024, 10, 30))

@@ -17,7 +17,7 @@ from tidemill.plans.config import Config, load
 from tidemill.sources import fetch as fetching
 from tidemill.sources.storage import backend
 from tidemill.sources.tasks import TaskLog, TaskTracer
-from tidemill.sources.vendors import VENDORS, search
+from tidemill.sources.vendors import search, vendor
 
 ASSET_TYPES = ("stock", "index", "etf", "cb", "future", "option")
 FREQUENCIES = ("daily", "1min", "5min", "15min", "30min", "60min")
@@ -29,8 +29,10 @@ def registry(landing: str, config: Config) -> fetching.SourceRegistry:
     for table, priorities in config.priorities.items():
         for name, priority in priorities.items():
             folder = Path(landing) / name
-            if name in VENDORS and VENDORS[name].table == table and folder.exists():
-                out.register(table, fetching.Source(VENDORS[name], fetching.landed(f"file://{folder.resolve()}"), priority))
+            # Daily bars lie in the vendor's folder, other tables in one below it.
+            folder = folder / table if (folder / table).exists() else folder
+            if (found := vendor(name, table)) and folder.exists():
+                out.register(table, fetching.Source(found, fetching.landed(f"file://{folder.resolve()}"), priority))
     return out
 
 
@@ -79,6 +81,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     log, task = TaskLog(args.log_dir, config.log_days), uuid.uuid4().hex
     store = backend(config.backend, spark, f"file://{Path(args.data_dir).resolve()}", config.compression)
     sources = registry(args.landing, config)
+    limits = fetching.Limits(config.attempts, config.base_delay_s, config.backoff, config.source_timeout_s, config.run_timeout_s)
     tracer.start(task, args.table)
     try:
         if args.command == "fetch":
@@ -86,9 +89,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             if args.start_date > end:
                 raise ValueError("the start date is after the end date")
             spec = fetching.FetchSpec(args.asset_type, args.table, tuple(c for c in args.codes.split(",") if c), args.start_date, end, args.frequency)
-            report = fetching.run(spark, sources, store, spec, config.profile)
+            report = fetching.run(spark, sources, store, spec, config.profile, limits=limits)
         else:
-            report = fetching.update(spark, sources, store, args.asset_type, args.table, date.today(), profile=config.profile)
+            report = fetching.update(spark, sources, store, args.asset_type, args.table, date.today(), profile=config.profile, limits=limits)
     except (fetching.PipelineError, ValueError) as e:
         tracer.finish(task, "failed", message=str(e))
         log.write(task, "ERROR", str(e))

@@ -14,13 +14,18 @@ from tidemill.plans import config, views
 from tidemill.plans.views import with_views
 from tidemill.queries.registry import query, rounded
 from tidemill.sources import fetch, storage
-from tidemill.sources.vendors import VENDORS, search
+from tidemill.sources.vendors import VENDORS, search, vendor
 from tidemill.streaming.upserts import stream_upserts
 
 
 def _folder(spark) -> str:
-    """A folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='tidemill-')}"
+    """A folder that driver and executors share; a machine's own one only for a
+    session on one machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='tidemill-')}"
     return f"{base.rstrip('/')}/tidemill-store/{uuid.uuid4().hex}"
 
 
@@ -145,7 +150,54 @@ def vendor_daily(spark, d):
     return out
 
 
-@query("s_vendor_contracts")
+@query(
+    "m1_vendor_finance",
+    with_views("finance", """SELECT vendor, lpad(code, 6, '0') || '.SZ' AS code, report_period, CASE right(report_period, 1) WHEN '4' THEN 'annual' WHEN '2' THEN 'semiannual' ELSE 'quarterly' END AS report_type,
+  CASE WHEN vendor <> 'akshare' THEN last_day(make_date(CAST(left(report_period, 4) AS BIGINT), 3 * CAST(right(report_period, 1) AS BIGINT), 1)) END AS pub_date, CAST(eps AS DOUBLE) AS eps, CAST(bps AS DOUBLE) AS bps
+FROM finance, (VALUES ('akshare'), ('tushare'), ('jqdata')) v(vendor)"""),
+)
+def vendor_finance(spark, d):
+    """Each vendor's raw form of the statements, mapped back."""
+    year, quarter = F.substring("report_period", 1, 4).cast("int"), F.substring("report_period", -1, 1).cast("int")
+    f = views.finance(spark, d).select(F.lpad("code", 6, "0").alias("code"), F.last_day(F.make_date(year, quarter * 3, F.lit(1))).alias("day"), "eps", "bps")
+    compact = F.date_format("day", "yyyyMMdd")
+    raw = {
+        "akshare": f.select("code", F.col("day").cast("string").alias("报告期"), F.col("eps").cast("string").alias("基本每股收益"), F.col("bps").alias("每股净资产")),
+        "tushare": f.select(F.concat("code", F.lit(".SZ")).alias("ts_code"), compact.alias("end_date"), compact.alias("ann_date"), "eps", "bps"),
+        "jqdata": f.select(F.concat("code", F.lit(".XSHE")).alias("code"), F.col("day").cast("string").alias("statDate"), F.col("day").cast("string").alias("pubDate"), "eps", "bps"),
+    }
+    keep = ["code", "report_period", "report_type", "pub_date", "eps", "bps"]
+    parts = [vendor(name, "finance").map(df).select(F.lit(name).alias("vendor"), *keep) for name, df in raw.items()]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query("m1_vendor_index", with_views("bars", "SELECT code || '.SZ' AS code, trade_date, open, close, volume, amount FROM bars"))
+def vendor_index(spark, d):
+    """Index frames come with English names."""
+    b = views.bars(spark, d)
+    raw = b.select("code", F.col("trade_date").cast("string").alias("date"), "open", "high", "low", "close", "volume", "amount")
+    return vendor("akshare", "daily").map(raw).select("code", "trade_date", "open", "close", "volume", "amount")
+
+
+@query("m1_vendor_minute", with_views("minute_bars", "SELECT vendor, '000001.SZ' AS code, trade_time, close, CAST(volume AS BIGINT) AS volume FROM minute_bars, (VALUES ('akshare'), ('efinance'), ('mootdx'), ('jqdata')) v(vendor)"))
+def vendor_minute(spark, d):
+    b = views.minute_bars(spark, d).withColumn("code", F.lit("000001"))
+    time = F.date_format("trade_time", "yyyy-MM-dd HH:mm:ss")
+    raw = {
+        "akshare": b.select("code", time.alias("时间"), F.col("close").alias("收盘"), F.col("volume").alias("成交量")),
+        "efinance": b.select(F.col("code").alias("股票代码"), time.alias("日期"), F.col("close").alias("收盘"), F.col("volume").alias("成交量")),
+        "mootdx": b.select("code", time.alias("datetime"), "close", "volume"),
+        "jqdata": b.select(F.concat("code", F.lit(".XSHE")).alias("code"), time.alias("time"), "close", "volume"),
+    }
+    parts = [vendor(name, "minute").map(df).select(F.lit(name).alias("vendor"), "code", "trade_time", "close", "volume") for name, df in raw.items()]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+@query(
+    "s_vendor_contracts",
+    _CONTRACT
+    + """SELECT vendor, code, DATE '2025-01-02' AS trade_date, 1.5::DOUBLE AS close, 1.4::DOUBLE AS settle, 10::BIGINT AS volume, 5::BIGINT AS open_interest, 'future' AS asset_type FROM k, (VALUES ('akshare'), ('tushare')) v(vendor)""",
+)
 def vendor_contracts(spark, d):
     """Futures of both vendors in one declared form."""
     c = _contracts(spark, d).withColumns({"date": F.lit("2025-01-02"), "open": F.lit(1.0), "high": F.lit(2.0), "low": F.lit(0.5), "close": F.lit(1.5), "settle": F.lit(1.4), "volume": F.lit(10), "hold": F.lit(5)})
@@ -155,7 +207,10 @@ def vendor_contracts(spark, d):
     return a.select(F.lit("akshare").alias("vendor"), *keep).union(t.select(F.lit("tushare").alias("vendor"), *keep))
 
 
-@query("s_vendor_bonds_options")
+@query(
+    "s_vendor_bonds_options",
+    """SELECT * FROM (VALUES ('123001.SZ', 10.0::DOUBLE, 102.0::DOUBLE, '2027-01-01'), ('113001.SH', 8.0::DOUBLE, 99.0::DOUBLE, NULL), ('10005867', NULL, 0.5::DOUBLE, 'call')) t(code, conversion_price, close, note)""",
+)
 def vendor_bonds_options(spark, d):
     bonds = spark.createDataFrame([("123001", "000001", 10.0, 102.0, "2027-01-01"), ("113001", "600000", 8.0, 99.0, "bad")], "`债券代码` string, `正股代码` string, `转股价` double, `最新价` double, `到期日` string")
     options = spark.createDataFrame([("10005867", "2025-01-02", 0.5, "认购", 5)], "code string, date string, close double, type string, hold int")

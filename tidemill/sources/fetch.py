@@ -3,9 +3,12 @@ flow over lazy frames, and the same rule as one query over landed data."""
 
 from __future__ import annotations
 
+import contextlib
 import importlib.util
+import threading
 import time
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -19,6 +22,10 @@ from tidemill.sources.storage import ParquetStore, Query, StoreError
 from tidemill.sources.vendors import Vendor
 
 
+#: Most missing codes that a report names.
+REPORTED = 1000
+
+
 class SourceUnavailable(Exception):
     pass
 
@@ -39,6 +46,47 @@ class FetchSpec:
     start: date | None = None
     end: date | None = None
     frequency: str = "daily"
+    #: Codes as a frame (code) in place of a list, however many there are.
+    among: DataFrame | None = None
+
+
+@dataclass(frozen=True)
+class Limits:
+    """Attempts and waits of a source, and seconds that a source and a run may take
+    (None: any)."""
+
+    attempts: int = 3
+    base_delay_s: float = 5.0
+    backoff: float = 2.0
+    source_timeout_s: float | None = None
+    run_timeout_s: float | None = None
+
+
+@contextlib.contextmanager
+def time_limit(spark: SparkSession, seconds: float | None, what: str) -> Iterator[None]:
+    """Cancels the Spark jobs of the block after ``seconds``, as a source that is
+    unavailable."""
+    if seconds is None:
+        yield
+        return
+    tag, fired = f"limit-{uuid.uuid4().hex}", threading.Event()
+    spark.sparkContext.addJobTag(tag)
+
+    def stop() -> None:
+        fired.set()
+        spark.sparkContext.cancelJobsWithTag(tag)
+
+    timer = threading.Timer(seconds, stop)
+    timer.start()
+    try:
+        yield
+    except Exception as e:
+        if fired.is_set():
+            raise SourceUnavailable(f"{what} took more than {seconds:g} s") from e
+        raise
+    finally:
+        timer.cancel()
+        spark.sparkContext.removeJobTag(tag)
 
 
 @dataclass(frozen=True)
@@ -59,8 +107,12 @@ class Source:
 
     def fetch(self, spark: SparkSession, spec: FetchSpec) -> DataFrame:
         df = self.vendor.map(self.read(spark, spec))
+        if spec.table == "minute" and spec.frequency != "daily":
+            df = df.withColumn("frequency", F.lit(spec.frequency)) if "frequency" not in df.columns else df.fillna({"frequency": spec.frequency})
         if spec.codes:
             df = df.filter(F.col("code").isin(*spec.codes))
+        if spec.among is not None:
+            df = df.join(spec.among.select("code").distinct(), "code", "left_semi")
         column = next((c for c in ("trade_date", "trade_time") if c in df.columns), None)
         if column and spec.start:
             df = df.filter(F.col(column) >= F.lit(spec.start))
@@ -140,26 +192,31 @@ class PipelineReport:
     tried: dict = field(default_factory=dict)
 
 
-def run(spark: SparkSession, registry: SourceRegistry, store: ParquetStore, spec: FetchSpec, profile: str = "baseline", as_of=None, upsert: bool = False, sleep: Callable[[float], None] = time.sleep) -> PipelineReport:
-    """Health, fetch, validate, clean, write; the next source after a failure. A
-    failure of the store is raised."""
-    table, tried = TABLES[spec.table], {}
+def run(
+    spark: SparkSession, registry: SourceRegistry, store: ParquetStore, spec: FetchSpec, profile: str = "baseline", as_of=None, upsert: bool = False, sleep: Callable[[float], None] = time.sleep, limits: Limits = Limits()
+) -> PipelineReport:
+    """Health, fetch, validate, clean, write; the next source after a failure or when
+    a source takes too long. A failure of the store is raised."""
+    table, tried, began = TABLES[spec.table], {}, time.monotonic()
     for source in registry.get_all(spec.asset_type, spec.table):
+        if limits.run_timeout_s is not None and time.monotonic() - began > limits.run_timeout_s:
+            raise PipelineError(f"the run took more than {limits.run_timeout_s:g} s: {tried}")
         try:
             if not source.healthy():
                 raise SourceUnavailable(f"{source.name} is not healthy")
-            raw = table.drop_invalid(source.fetch_with_retry(spark, spec, sleep=sleep))
-            rows = cleaning.clean(raw, profile, as_of).persist()
-            try:
+            with time_limit(spark, limits.source_timeout_s, source.name):
+                raw = table.drop_invalid(source.fetch_with_retry(spark, spec, limits.attempts, limits.base_delay_s, limits.backoff, sleep))
+                rows = cleaning.clean(raw, profile, as_of).persist()
                 n = rows.count()
+            try:
                 if not n:
                     raise SourceUnavailable(f"{source.name} has no rows")
                 found = tuple(r.issue for r in cleaning.issues(rows, profile).filter("violated").collect())
                 (store.upsert if upsert else store.write)(spec.table, rows)
                 failed: tuple[str, ...] = ()
-                if spec.codes:
-                    asked = spark.createDataFrame([(c,) for c in spec.codes], "code string")
-                    failed = tuple(sorted(r.code for r in missing_codes(rows, asked).collect()))
+                asked = spec.among if spec.among is not None else spark.createDataFrame([(c,) for c in spec.codes], "code string") if spec.codes else None
+                if asked is not None:
+                    failed = tuple(sorted(r.code for r in missing_codes(rows, asked).orderBy("code").limit(REPORTED).collect()))
             finally:
                 rows.unpersist()
             first = registry.primary(spec.table)
@@ -175,6 +232,7 @@ def update(spark: SparkSession, registry: SourceRegistry, store: ParquetStore, a
     """From the day after the latest stored one to ``today``, for the stored codes,
     as an upsert."""
     stored = store.read(Query(table))
-    latest = stored.agg(F.max("trade_date").alias("latest"), F.collect_set("code").alias("codes")).first()
-    start = None if latest.latest is None else date.fromordinal(latest.latest.toordinal() + 1)
-    return run(spark, registry, store, FetchSpec(asset_type, table, tuple(sorted(latest.codes)), start, today), upsert=True, **options)
+    time_column = "trade_time" if "trade_time" in stored.columns else "trade_date"
+    latest = stored.agg(F.max(F.col(time_column).cast("date")).alias("latest")).first().latest
+    start = None if latest is None else date.fromordinal(latest.toordinal() + 1)
+    return run(spark, registry, store, FetchSpec(asset_type, table, (), start, today, among=stored.select("code").distinct()), upsert=True, **options)
