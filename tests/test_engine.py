@@ -527,3 +527,11 @@ def test_finance_landing_is_found(spark, tmp_path):
     sources = cli.registry(f"{tmp_path}/landing", Config(priorities={"finance": {"tushare": 1}}))
     row = sources.primary("finance").fetch(spark, fetch.FetchSpec("stock", "finance")).first()
     assert (row.code, row.report_period, row.pub_date) == ("000001.SZ", "2024Q3", dt.date(2024, 10, 30))
+
+
+def test_fuzzy_compares_distinct_texts_and_names_every_row(spark):
+    s = spark.createDataFrame([(i, t) for i, t in enumerate(["abcd", "abcd", None, "zzzz", "abcd", ""])], "_row bigint, x string")
+    t = spark.createDataFrame([(i, t) for i, t in enumerate(["abce", "abce", None, "abcf", ""])], "_row bigint, y string")
+    for algorithm in ("levenshtein", "edit", "jaro_winkler"):
+        got = {r.source_index: (r.target_index, r.match_type) for r in linkage.fuzzy(s, t, [("x", "y")], 0.7, algorithm).collect()}
+        assert got == {**dict.fromkeys((0, 1, 4), (0, "fuzzy")), **dict.fromkeys((2, 5), (2, "fuzzy"))}

@@ -110,11 +110,15 @@ def _sounds(a: Column, b: Column) -> Column:
 SIMILARITIES = {"levenshtein": _paired(ratio), "jaro_winkler": _paired(jaro_winkler), "edit": _edit, "soundex": _paired(ratio), "soundex_equal": _sounds}
 
 
-def _pairs(source: DataFrame, target: DataFrame, on: list[tuple[str, str]], blocking: list[tuple[str, str]], lower: bool = False) -> DataFrame:
+def _sides(source: DataFrame, target: DataFrame, on: list[tuple[str, str]], blocking: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
     s = source.select(F.col("_row").alias("source_index"), *[_text(a).alias(f"s{i}") for i, (a, _) in enumerate(on)], *[_text(a).alias(f"bs{i}") for i, (a, _) in enumerate(blocking)])
     t = target.select(F.col("_row").alias("target_index"), *[_text(b).alias(f"t{i}") for i, (_, b) in enumerate(on)], *[_text(b).alias(f"bt{i}") for i, (_, b) in enumerate(blocking)])
-    if blocking:
-        return s.join(t, reduce(lambda x, y: x & y, (s[f"bs{i}"] == t[f"bt{i}"] for i in range(len(blocking)))))
+    return s, t
+
+
+def _meet(s: DataFrame, t: DataFrame, blocks: int) -> DataFrame:
+    if blocks:
+        return s.join(t, reduce(lambda x, y: x & y, (s[f"bs{i}"] == t[f"bt{i}"] for i in range(blocks))))
     if t.limit(MOST_UNBLOCKED + 1).count() > MOST_UNBLOCKED:
         raise ValueError(f"the target has more than {MOST_UNBLOCKED} rows: name blocking columns")
     # The target's size has just been checked.
@@ -128,18 +132,25 @@ def _best(scored: DataFrame, threshold: float, kind: str) -> DataFrame:
 
 
 def fuzzy(source: DataFrame, target: DataFrame, on: list[tuple[str, str]], threshold: float = 0.8, algorithm: str = "levenshtein", blocking: list[tuple[str, str]] = ()) -> DataFrame:
-    """The best target of each source by mean similarity. Each distinct pair of texts
-    of a column is compared once."""
-    pairs = _pairs(source, target, on, list(blocking))
+    """The best target of each source by mean similarity. Rows that agree in the texts
+    compared and in their blocks are compared once: each side is reduced to its
+    distinct texts first, the target with the smallest row number of each."""
+    s, t = _sides(source, target, on, list(blocking))
+    mine, theirs = [c for c in s.columns if c != "source_index"], [c for c in t.columns if c != "target_index"]
+    texts = s.groupBy(*mine).agg(F.min("source_index").alias("source_index"))
+    pairs = _meet(texts, t.groupBy(*theirs).agg(F.min("target_index").alias("target_index")), len(blocking))
     f = SIMILARITIES[algorithm]
     score = sum((f(F.coalesce(f"s{i}", F.lit("")), F.coalesce(f"t{i}", F.lit(""))) for i in range(1, len(on))), f(F.coalesce("s0", F.lit("")), F.coalesce("t0", F.lit("")))) / float(len(on))
-    return _best(pairs.withColumn("confidence", score), threshold, "fuzzy")
+    best = _best(pairs.withColumn("confidence", score), threshold, "fuzzy").withColumnRenamed("source_index", "_first")
+    named = best.join(texts.withColumnRenamed("source_index", "_first"), "_first").select("target_index", "confidence", "match_type", *[F.col(c).alias(f"_{c}") for c in mine])
+    same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in mine))
+    return s.join(named, same).select("source_index", "target_index", "confidence", "match_type")
 
 
 def probabilistic(source: DataFrame, target: DataFrame, on: list[tuple[str, str]], threshold: float = 0.8, blocking: list[tuple[str, str]] = ()) -> DataFrame:
     """Agreement, disagreement and absence of each column, weighted by the logarithm
     of their odds over all pairs; the score is the logistic function of the sum."""
-    pairs = _pairs(source, target, on, list(blocking))
+    pairs = _meet(*_sides(source, target, on, list(blocking)), len(blocking))
     features = {}
     for i in range(len(on)):
         gone = F.col(f"s{i}").isNull() | F.col(f"t{i}").isNull()
