@@ -124,13 +124,76 @@ def test_url_model_tells_hosts_apart(spark, data):
     model = url_filter.train()
     assert all(model.score(f"www.{h}.example.org", "/en/1") >= 0.5 for h in ("casino-win", "spam-farm", "mega-casino", "cheap-pills"))
     assert all(model.score(h, "/de/77?a") < 0.5 for h in ("blog.ththan.example.net", "m.tiontion.example.com", "garden-news.example.org"))
-    held = [(h, p, y) for i, (h, p, y) in enumerate(url_filter.labelled_urls()) if i % 5 == 0]
-    fitted = url_filter.train([r for i, r in enumerate(url_filter.labelled_urls()) if i % 5])
-    assert np.mean([(fitted.score(h, p) >= 0.5) == bool(y) for h, p, y in held]) > 0.9
+    # Whole hosts are held out.
+    rows = url_filter.labelled_urls()
+    host = lambda h: next(x for x in (*url_filter.WANTED_HOSTS, *url_filter.UNWANTED_HOSTS) if x in h.split("."))
+    own = {h: k % 5 for k, h in enumerate((*url_filter.UNWANTED_HOSTS, *url_filter.WANTED_HOSTS))}
+    right: dict = {0: [], 1: []}
+    for fold in range(5):
+        fitted = url_filter.train([r for r in rows if own[host(r[0])] != fold])
+        for h, p, y in rows:
+            if own[host(h)] == fold:
+                right[y].append((fitted.score(h, p) >= 0.5) == bool(y))
+    # Of unwanted hosts only those that share a part with another can be known.
+    assert np.mean(right[0]) > 0.9 and np.mean(right[1]) > 0.25
     assert queries.QUERIES["op2_url_filter"](spark, data).count() == queries.read(spark, data, "pages").count()
 
 
-def test_wanted_hosts_are_not_those_of_the_test_pages(spark, data):
-    pages = queries.read(spark, data.replace("sf0.001", "sf0.1"), "pages").select(url_filter.host_of().alias("host")).distinct()
-    labels = {part for r in pages.collect() for part in r.host.split(".")}
-    assert not labels & set(url_filter.WANTED_HOSTS)
+def test_hosts_of_the_table_are_not_those_of_the_test_pages(spark, data):
+    """So that the verdicts on these pages are about hosts that the model hasn't seen."""
+    pages = queries.read(spark, data.replace("sf0.001", "sf0.1"), "pages").select(url_filter.host_of().alias("host"), url_filter.path_of().alias("path")).distinct().collect()
+    labels = {part for r in pages for part in r.host.split(".")}
+    assert not labels & {*url_filter.WANTED_HOSTS, *url_filter.UNWANTED_HOSTS}
+    model = url_filter.train()
+    bad = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+    got: dict = {True: [], False: []}
+    for r in pages:
+        if r.host:
+            got[any(b in r.host.split(".") for b in bad)].append(model.score(r.host, r.path) >= 0.5)
+    assert np.mean(got[True]) > 0.95 and np.mean(got[False]) < 0.05
+
+
+def _plain_quality(model, text):
+    """A score from the text by plain loops over words and pairs."""
+    words = (text or "").split()
+    if not words:
+        return 1 / (1 + np.exp(-model.bias))
+    total, codes = 0.0, [quality._codes(w) for w in words]
+    core, mark = [c & 0xFFFFFFFF for c in codes], [c >> 32 for c in codes]
+    place = lambda n: ((n * 0x9E3779B97F4A7C15) % (1 << 64)) >> (64 - quality.BITS)
+    every = [c for c in core if c] + [m + 0x5BD1E995 for m in mark if m]
+    every += [quality._SAME if a == b else ((a * 0x9E3779B1 + b * 0x85EBCA77) % (1 << 64)) >> 7 for a, b in zip(core, core[1:], strict=False)]
+    for n in every:
+        total += float(model.weights[place(n)])
+    return 1 / (1 + np.exp(-(model.bias + quality.SCALE * total / len(words))))
+
+
+def test_quality_query_equals_a_plain_version(spark, data):
+    docs, labels = queries.read(spark, data, "documents"), queries.read(spark, data, "labels")
+    model = quality.fit(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in queries.QUERIES["op1_quality"](spark, data).collect():
+        assert r.score == pytest.approx(_plain_quality(model, texts[r.doc_id]), abs=1e-6)
+
+
+def test_toxicity_query_equals_a_plain_version(spark, data):
+    docs, labels = queries.read(spark, data, "documents"), queries.read(spark, data, "labels")
+    model = toxicity.fit(docs, labels)
+    plain, toxic = toxicity._compressor(model.ordinary), toxicity._compressor(model.toxic)
+    assert model.toxic.endswith(model.ordinary)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in queries.QUERIES["op9_toxicity"](spark, data).collect():
+        saved = sorted((len(plain.compress(w)) - len(toxic.compress(w)) for w in toxicity.windows(texts[r.doc_id])), reverse=True)
+        if not saved:
+            assert r.score == 0.0
+            continue
+        n, passed = len(saved), [sum(s >= t for s in saved) for t in (1, 2, 3)]
+        top = saved[:3]
+        x = [1.0, top[0], sum(top) / len(top), passed[1] / n, np.log(n), *[np.log1p(p) for p in passed], sum(saved) / n, float(top[0] >= 3), float(top[0] >= 2)]
+        assert r.score == pytest.approx(1 / (1 + np.exp(-np.clip(np.dot(x, model.coefficients), -500, 500))), abs=1e-9)
+
+
+def test_toxicity_cuts_words_without_white_space():
+    text = "x" * 20_000 + " some words"
+    cut = toxicity.windows(text)
+    assert max(map(len, cut)) <= max(toxicity.LONGEST, 200) and b"".join(cut).replace(b" ", b"") == text.replace(" ", "").encode()
