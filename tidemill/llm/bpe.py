@@ -302,27 +302,28 @@ def code_chunks(parts: list[str], find: Callable[[str], list[str]], code: Callab
     numbers), ``code`` being asked for every distinct word once. Chunks that follow a
     space and end in a character are cut into words as one text, since the pattern
     always cuts before a single space between characters."""
-    if not parts:
-        return ()
-    inner = [p for p in parts if p[0] != " " and not _SPACE(p[-1])]
-    outer = list(set(parts).difference(inner)) if len(inner) < len(parts) else []
+    # Letters after a space are one word by any reading of the pattern.
+    plain = [p for p in parts if p.isascii() and p.isalpha()]
+    spaced = [" " + p for p in plain]
+    rest = parts if not plain else [p for p in parts if not (p.isascii() and p.isalpha())]
+    inner = [p for p in rest if p[0] != " " and not _SPACE(p[-1])]
+    outer = list(set(rest).difference(inner)) if len(inner) < len(rest) else []
     words = find(" " + " ".join(inner)) if inner else []
     texts = [*(" " + p for p in inner), *map(chunk_text, outer)]
     for text in texts[len(inner) :]:
         words += find(text)
+    distinct = list(set(words).union(spaced))
+    coded = code(distinct)
+    table = dict(zip(distinct, coded, strict=True))
+    yield from zip(plain, map(table.__getitem__, spaced), strict=True)
+    if not rest:
+        return
     sizes = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
     last = np.searchsorted(sizes, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts))))
-    distinct = list(set(words))
-    place = dict(zip(distinct, range(len(distinct)), strict=True))
-    index = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-    coded = code(distinct)
-    counts = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-    n = counts[index]
-    ends = np.cumsum(n)
-    from_ = np.repeat((np.cumsum(counts) - counts)[index] - (ends - n), n) + np.arange(ends[-1])
-    flat = np.frombuffer(b"".join(coded), "<u4")[from_].tobytes()
-    stops = (ends[last] * 4).tolist()
-    return zip(inner + outer, [flat[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)], strict=True)
+    each = list(map(table.__getitem__, words))
+    stops = np.cumsum(np.fromiter(map(len, each), np.int64, len(each)))[last].tolist()
+    flat = b"".join(each)
+    yield from zip(inner + outer, [flat[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)], strict=True)
 
 
 def decode(ids: Iterable[int], pieces: list[bytes]) -> bytes:
