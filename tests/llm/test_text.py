@@ -239,6 +239,25 @@ def test_mix_apply_repeats_rows(spark, docs, odd):
     assert mixing.plan(spark, docs([])).count() == mixing.apply(spark, docs([])).count() == 0
 
 
+def test_rows_without_an_id_spread_over_the_bins(spark, docs):
+    rows = [(None, f"text number {i}", "s") for i in range(400)] + [(i, "a b", "t") for i in range(50)]
+    bins = docs(rows).filter("doc_id is null").select(F.floor(mixing.uniform() * 64)).distinct().count()
+    assert bins > 50
+    got = mixing.plan(spark, docs(rows)).collect()
+    assert len(got) == len(rows) and len({r.copies for r in got if r.source == "s"}) == 2
+
+
+def test_many_rows_of_one_id_are_cut_into_ranges(spark, docs, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(None, f"text number {i}") for i in range(300)] + [(7, f"other text {i}") for i in range(300)]
+    folder = token_files.write(spark, docs(rows), path, f"file://{tmp_path}/h", parts=4)
+    parts = {r.part: r["count"] for r in spark.read.parquet(folder).groupBy("part").count().collect()}
+    assert len(parts) == 4 and max(parts.values()) < 300
+    got = token_files.read(spark, folder).orderBy("start").collect()
+    assert [r.doc_id is None for r in got] == [True] * 300 + [False] * 300
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:], strict=False))
+
+
 def test_mix_sql(spark, data):
     db = duckdb.connect()
     db.sql(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")

@@ -20,7 +20,8 @@ up in ``BINS`` bins of the rank variable first, and only the bin at the border
 is put in order.
 
 Edge cases: a null text has size 0; null sources are one source, last; sizes of
-zero share nothing. Equal ranks are ordered by id, size and a hash of the text,
+zero share nothing. Rows with a null id are ranked by a hash of their text, so that
+many of them spread over the bins. Equal ranks are ordered by id, size and a hash of the text,
 so reruns agree; repeated rows are rows of their own. Extra columns are never
 read by :func:`plan`; :func:`apply` keeps all columns (names that begin with
 ``_mix_`` are its own).
@@ -44,10 +45,11 @@ def n_words(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
-def uniform(key: str = "doc_id", seed: str = SEED) -> Column:
+def uniform(key: str = "doc_id", seed: str = SEED, text: str = "text") -> Column:
     """A number in (0, 1) from the first 48 bits of an MD5, which other SQL
-    engines compute alike."""
-    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("null"))).cast("binary"))
+    engines compute alike. Rows without an id are told apart by their text."""
+    named = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))))
+    digest = F.md5(F.concat_ws(":", F.lit(seed), named).cast("binary"))
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint").cast("double") + 0.5) / float(1 << 48)
 
 

@@ -58,7 +58,7 @@ OP4_SQL = r"""
 WITH docs AS (
   SELECT doc_id, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         (CAST(CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12) AS BIGINT) AS DOUBLE) + 0.5) / 281474976710656.0 AS u
+         (CAST(CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, '')))), 1, 12) AS BIGINT) AS DOUBLE) + 0.5) / 281474976710656.0 AS u
   FROM documents),
 sizes AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(3 * sum(size) AS BIGINT) AS cap,

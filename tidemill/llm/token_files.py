@@ -16,7 +16,7 @@ distinct word, once while its chunk stays in a worker's cache. A text that holds
 string of an added token is left to the library, which gives it that token's id.
 
 Edge cases: a null text is empty (the end id alone); null ids come first; rows
-that share an id are ordered by their text. Extra columns are never read.
+that share an id are ordered by a hash of their text. Extra columns are never read.
 """
 
 from __future__ import annotations
@@ -115,8 +115,10 @@ def write(spark: SparkSession, docs: DataFrame, tokenizer: str, folder: str | No
     folder = folder or new_path(spark, "tokens")
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    ranged = docs.select("doc_id", "text").repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
-    ranged = ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").withColumn("part", F.spark_partition_id())
+    # The hash cuts the rows of one id, should they be many, into ranges as well.
+    order = [F.col("doc_id").asc_nulls_first(), F.col("hash").asc()]
+    ranged = docs.select("doc_id", "text", F.xxhash64("text").alias("hash")).repartitionByRange(parts, *order)
+    ranged = ranged.sortWithinPartitions(*order, "text").drop("hash").withColumn("part", F.spark_partition_id())
     coded = ranged.mapInArrow(partial(_encode_part, path=tokenizer, end_id=end_id), f"part int, doc_id {id_type}, part_start bigint, n_tokens bigint, ids array<int>")
     (
         coded.write.option("compression", "zstd")
