@@ -14,10 +14,10 @@ less its coding error exceeds r, which loses no pair. What is passed on is
 compared by exact cosine.
 
 There is a list for each ``ROWS_PER_LIST`` classes, up to ``MOST_LISTS``, so that a
-list's length stays and the work of clustered vectors grows with the rows. Vectors
-without any structure probe a constant share of the lists, whatever their number: for
-them there are so few that ``MEAN_PROBES`` suffice, which bounds the rows that are
-dealt out for a vector.
+list's length stays. Sufficient probes reach a share of the lists that depends on how
+well centres tell the vectors apart; where ``MEAN_PROBES`` wouldn't suffice there are
+fewer lists, which bounds the rows that are dealt out for a vector, not the members
+that it meets.
 Lists are searched in blocks of ``BLOCK`` members and ``QUERIES`` queries. A block
 returns the numbers of links that it finds for its vectors and a spanning forest of
 the links, not all pairs.
@@ -106,9 +106,11 @@ def fit(vectors: np.ndarray, threshold: float = THRESHOLD, lists: int = LEAST_LI
     x = unit(np.asarray(vectors, dtype=np.float64))
     radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     lists = min(lists, max(1, len(x) // 4))
+    # Centres lie nearer to the vectors that they are fitted on: others are counted.
+    apart = 256 if len(x) >= 4 * 256 else 0
     while True:
-        centres = kmeans_two_level(x, lists)
-        _, probes = Quantiser(centres, [], np.empty(0), radius).lists(x[:512])
+        centres = kmeans_two_level(x[apart:], lists)
+        _, probes = Quantiser(centres, [], np.empty(0), radius).lists(x[: apart or None])
         if lists <= LEAST_LISTS or (mean := float(probes.sum(axis=1).mean()) / 2) <= MEAN_PROBES:
             break
         lists = max(LEAST_LISTS, int(0.9 * lists * MEAN_PROBES / mean))
