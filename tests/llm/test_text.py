@@ -403,3 +403,49 @@ def test_token_files_odd_rows_and_selective_reads(spark, docs, odd, tmp_path):
     empty = token_files.write(spark, docs([]), path, f"file://{tmp_path}/e", parts=2)
     assert token_files.digests(token_files.read(spark, empty)).count() == 0
     assert F is not None
+
+
+# --- every word by the fold of higher-order functions -----------------------------------
+
+
+def test_documents_get_all_ids_from_the_higher_order_fold(spark, docs, library, monkeypatch):
+    """The queries' plan folds between naming words and filling in ids; a table without
+    joins leaves bytes, also for the words that a cache of frequent words would hold; no
+    sample of documents is read."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows = [(i, " ".join(f"zq{i}xv{j} commonword qqzz" for j in range(40))) for i in range(30)]
+    made = bpe.encode(spark, docs(rows), path, public_tokenizers.PATTERN)
+    plan = made._jdf.queryExecution().analyzed().toString()
+    assert "aggregate(" in plan and plan.count("MapInArrow") == 2 and "Limit" not in plan
+    assert {r.doc_id: list(r.ids) for r in made.collect()} == {d: library.encode_ordinary(t) for d, t in rows}
+    none = bpe.Joins(*(np.full(1, x) for x in (0, -1, -1)))
+    monkeypatch.setattr(bpe, "join_table", lambda ranks: none)
+    unjoined = bpe.encode(spark, docs([(1, "qqzz qqzz"), (2, "qqzz")]), path, public_tokenizers.PATTERN).collect()
+    ranks = bpe.read_ranks(path)
+    assert {r.doc_id: list(r.ids) for r in unjoined} == {d: [ranks[bytes([b])] for b in t.encode()] for d, t in ((1, "qqzz qqzz"), (2, "qqzz"))}
+
+
+def test_long_words_by_rounds_and_forgotten_words(spark, ranks, library):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    words = ["ab" * 5000, "x" * 20_001, "é" * 300, "".join(rng.choice(list("abcdetnisro"), 400)), "a" * bpe.SINGLE, "a" * (bpe.SINGLE + 1), "b"]
+    words += ["".join(rng.choice(list("ths anioe"), n)) for n in rng.integers(2, 150, 200)]
+    got = {bytes(r.word).decode(): list(r.ids) for r in bpe.encode_words(spark, spark.createDataFrame([(w.encode(),) for w in words], "word binary"), ranks).collect()}
+    assert got == {w: library._encode_single_piece(w.encode()) for w in words}
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    texts = [" ".join(f"w{i % 7}x{j % 5}, it's" for j in range(9)) for i in range(40)] + [None, "", " a  b "]
+
+    def run(known):  # without the fold the ids are those of bytes and whole pieces
+        bpe.KNOWN, bpe.ROWS, kept = known, 4, (bpe.KNOWN, bpe.ROWS)
+        try:
+            batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+            cut = list(bpe._cut(iter([batch]), path, public_tokenizers.PATTERN))
+            out = [r for b in bpe._fill(iter(cut), path, True) for r in b.to_pylist()]
+            return sum(b.column("fresh")[0].as_py() for b in cut), out
+        finally:
+            bpe.KNOWN, bpe.ROWS = kept
+
+    (often, few), (once, many) = run(10), run(10_000)
+    assert often > 3 and once == 1 and few == many
+    assert [r["decoded_sha256"] for r in few] == [hashlib.sha256((t or "").encode()).hexdigest() for t in texts]

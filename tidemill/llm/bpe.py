@@ -5,21 +5,17 @@ distinct word is encoded by folding ranked merges over its bytes: as long as
 two neighbouring pieces join to a piece of the vocabulary, the join of lowest
 rank (the first of equals) is made. Decoding concatenates the binary pieces.
 
-Two forms of the same fold over the same literal rank map, a perfect hash of
-pairs of ids (:class:`Pairs`), so that a look-up is three array reads:
-
-* :func:`encode_words` folds with Spark's higher-order functions over a table of
-  distinct words; the map is a one-row table of arrays, broadcast, whose size is
-  fixed by the vocabulary. It costs some hundred microseconds a word, so
-  :func:`encode` uses it for the words that a bounded sample of documents shows
-  to be the most frequent (``FREQUENT``): these cover most of any text.
-* :func:`fold_many` folds the other distinct words of a run of documents at once,
-  one numpy row for a word, in the worker that meets them; what it made is kept in
-  a cache of at most ``CACHE_CHUNKS`` runs of words and as many older ones, which
-  bounds the worker's memory.
-
-The table of frequent words is a cache: which words it holds doesn't change any
-result. Documents are encoded where they are read, without a shuffle.
+The fold is made of Spark's higher-order functions (:func:`fold_sql`) over a
+literal table of the pairs that join (:class:`Joins`), one row of fixed size that
+is broadcast. All ids come from it: :func:`encode` has a task name the distinct
+words of its documents as it meets them (:func:`_cut`), folds each once, and puts
+the ids where the words stood (:func:`_fill`). Nothing is shuffled, sampled or
+left to another way. A task remembers about ``KNOWN`` words; then it begins anew
+and folds again what it meets again, which changes no result.
+:func:`encode_words` folds a table of words.
+
+:class:`Coder` encodes single texts where there is no session, by a numpy row a
+word over the same pairs; no query uses it.
 
 Edge cases: a null text is an empty one, with no ids; long texts are encoded
 whole; rows are encoded one by one, so null ids, ties and repeated rows keep
@@ -32,10 +28,11 @@ import base64
 import hashlib
 import heapq
 import re
-import uuid
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +40,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import held, remove, slices, written
+from tidemill.llm.common import held, slices, trim
 
-#: Most words that the table of frequent words holds, and documents of the sample.
-FREQUENT = 40_000
-SAMPLE_DOCS = 2_000
+#: Distinct words that a task of :func:`encode` remembers.
+KNOWN = 400_000
+#: Longest word, in pieces, whose joins are made one by one; longer ones by rounds.
+SINGLE = 64
+#: Places that are tried at once when the table of joins is laid out.
+TRIED = 1024
 CACHE_CHUNKS = 150_000
 #: Rows and bytes of text that are encoded at once.
 ROWS = 256
@@ -68,6 +68,123 @@ def read_ranks(path: str) -> dict[bytes, int]:
 # --- the fold in Spark ------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Joins:
+    """The pairs of pieces that join: if pair (left, right) is one, place
+    shift[left] + right belongs to left and has the joined id."""
+
+    shift: np.ndarray
+    owner: np.ndarray
+    joined: np.ndarray
+
+    def row(self, spark: SparkSession) -> DataFrame:
+        columns = tuple(x.tolist() for x in (self.shift, self.owner, self.joined))
+        return F.broadcast(spark.createDataFrame([columns], "shift array<int>, owner array<int>, joined array<int>"))
+
+
+def join_table(ranks: dict[bytes, int]) -> Joins:
+    """Rows of the table (those of one left piece) are laid over each other where all
+    their places are free, rows of many pairs first."""
+    rows: dict[int, list[tuple[int, int]]] = {}
+    for (left, right), rank in joins(ranks).items():
+        rows.setdefault(left, []).append((right, rank))
+    shift = np.zeros(max(ranks.values()) + 1, np.int64)
+    owner = np.full(len(shift) + TRIED, -1, np.int64)
+    joined = np.full(len(owner), -1, np.int64)
+    at = length = 0
+    for left, row in sorted(rows.items(), key=lambda x: -len(x[1])):
+        right, rank = np.array(sorted(row), dtype=np.int64).T
+        if len(row) != length and len(row) < 16:  # else the search goes on where it ended
+            at, length = 0, len(row)
+        while True:
+            if len(owner) < at + TRIED + len(shift):
+                owner, joined = (np.append(x, np.full(len(x), -1)) for x in (owner, joined))
+            free = np.flatnonzero(owner[at : at + TRIED] < 0) + at - right[0]
+            fits = (owner[free[:, None] + right] < 0).all(axis=1)
+            if fits.any():
+                break
+            at += TRIED
+        shift[left] = free[fits.argmax()]
+        at = int(shift[left] + right[0])
+        owner[shift[left] + right], joined[shift[left] + right] = left, rank
+    end = np.flatnonzero(owner >= 0).max(initial=-1) + 1
+    return Joins(shift, owner[:end], joined[:end])
+
+
+def joins(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
+    """(left id, right id) to the id that they join to."""
+    pairs = {}
+    for piece, rank in ranks.items():
+        for cut in range(1, len(piece)):
+            left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
+            if left is not None and right is not None:
+                pairs[left, right] = rank
+    return pairs
+
+
+def _with(value: str, name: str, body: str) -> str:
+    """SQL: body, where name stands for value (computed once)."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _joined(left: str, right: str, absent: int = ABSENT) -> str:
+    """SQL of the id that two pieces join to, else ``absent``; -1 is no piece."""
+    place = f"get(shift, {left}) + {right}"
+    return f"if(get(owner, {place}) = {left}, get(joined, {place}), {absent})"
+
+
+def fold_sql(pieces: str) -> str:
+    """SQL of the ids that ``pieces`` (array<int>, the ids of a word's bytes) join to,
+    given the columns of :class:`Joins`."""
+    folded = f"if(size(w) <= {SINGLE}, {_single('w')}, {_rounds('concat(array(-1), w, array(-1))')})"
+    return _with(pieces, "w", f"if(size(w) < 2, w, {folded})")
+
+
+def _single(word: str) -> str:
+    """One join a step. A piece is one number: what it joins to with the next piece, its
+    first byte's place in the word and its id, so that the least is the join to make."""
+    none, place = 1 << 20, 1023 << 32
+    packed = lambda rank, at, piece: f"shiftleft(cast({rank} as bigint), 42) + {at} + {piece}"
+    piece = lambda x: f"cast({x} & 4294967295L as int)"
+    start = f"transform({word}, (y, i) -> {packed(_joined('y', f'get({word}, i + 1)', none), 'shiftleft(cast(i as bigint), 32)', 'y')})"
+    rank = "cast(shiftright(lo, 42) as int)"
+    made = _with(rank, "m", packed(_joined("m", piece("get(s, p + 1)"), none), f"(lo & {place}L)", "m"))
+    before = _with(piece("x"), "y", packed(_joined("y", rank, none), f"(x & {place}L)", "y"))
+    after = _with("get(s, p - 2)", "b", f"transform(array_remove(s, get(s, p)), x -> if(x = lo, {made}, if(x = b, {before}, x)))")
+    step = _with("array_min(s)", "lo", f"if(lo >= {none << 42}L, s, {_with('cast(array_position(s, lo) as int)', 'p', after)})")
+    return f"transform(aggregate(sequence(2, size({word})), {start}, (s, n) -> {step}), x -> {piece('x')})"
+
+
+def _rounds(word: str) -> str:
+    """Of the pieces between two -1: all joins of lowest rank a round, from the left ("1" marks their places, "2" those
+    taken), up to the first after which a lower one is possible. That is the order in
+    which single joins are made, in as many passes as there are different ranks."""
+    ranks = f"transform(sequence(0, size(s.a) - 2), i -> {_joined('get(s.a, i)', 'get(s.a, i + 1)')})"
+    marks = "split(regexp_replace(array_join(transform(r, x -> if(x = m, '1', '0')), ''), '1.', '20'), '')"
+    lower = f"({_joined('m', 'get(s.a, i + 2)')} < m or if(get(f, i - 2) = '2', q, {_joined('get(s.a, i - 1)', 'm')}) < m)"
+    first = f"coalesce(array_min(filter(sequence(0, size(r) - 1), i -> get(f, i) = '2' and {lower})), size(r))"
+    kept = "filter(sequence(0, size(s.a) - 1), i -> i = 0 or i - 1 > e or get(f, i - 1) <> '2')"
+    taken = f"transform({kept}, i -> if(i < size(r) and i <= e and get(f, i) = '2', m, get(s.a, i)))"
+    step = _with(marks, "f", _with(_joined("m", "m"), "q", _with(first, "e", f"named_struct('a', {taken}, 'more', true)")))
+    step = _with(ranks, "r", _with("array_min(r)", "m", f"if(m = {ABSENT}, named_struct('a', s.a, 'more', false), {step})"))
+    return f"aggregate(sequence(1, size(w)), named_struct('a', {word}, 'more', true), (s, n) -> if(s.more, {step}, s), s -> slice(s.a, 2, size(s.a) - 2))"
+
+
+def encode_words(spark: SparkSession, words: DataFrame, ranks: dict[bytes, int], table: Joins | None = None) -> DataFrame:
+    """``words`` (word binary) with their ids (array<int>). A word that is a piece has
+    its rank."""
+    whole = F.broadcast(spark.createDataFrame(list(ranks.items()), "word binary, whole int"))
+    ids = ", ".join(str(ranks[bytes([b])]) for b in range(256))
+    letters = "filter(split(decode(w.word, 'ISO-8859-1'), ''), c -> c <> '')"
+    start = f"if(w.whole is null, transform({letters}, c -> get(array({ids}), ascii(c))), array(w.whole))"
+    many = words.join(whole, "word", "left").groupBy(F.pmod(F.xxhash64("word"), F.lit(64)).alias("part"))
+    many = many.agg(F.collect_set(F.struct("word", "whole")).alias("words")).crossJoin((table or join_table(ranks)).row(spark))
+    return many.select(F.inline(F.expr(f"transform(words, w -> named_struct('word', w.word, 'ids', {fold_sql(start)}))")))
+
+
+# --- the fold without a session ----------------------------------------------------------
+
+
 @dataclass(frozen=True)
 class Pairs:
     """A perfect hash (left id, right id) to joined id, and the ids of the single
@@ -87,13 +204,8 @@ class Pairs:
 
 
 def pair_table(ranks: dict[bytes, int]) -> Pairs:
-    pairs = {}
-    for piece, rank in ranks.items():
-        for cut in range(1, len(piece)):
-            left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
-            if left is not None and right is not None:
-                pairs[left << 16 | right] = rank
-    p = np.array(list(pairs), dtype=np.int64)
+    pairs = joins(ranks)
+    p = np.array([left << 16 | right for left, right in pairs], dtype=np.int64)
     joined = np.array(list(pairs.values()), dtype=np.int64)
     n_shifts = 1 << max(4, int(np.ceil(np.log2(max(len(p), 1) / 2 + 1))))
     n_slots = 1 << max(5, int(np.ceil(np.log2(1.25 * max(len(p), 1)))))
@@ -127,42 +239,6 @@ def _h1(p, n):
     return (p * 16807 + (p >> 16) * 39373) % n | 1
 
 
-def _with(value: str, name: str, body: str) -> str:
-    """SQL: body, where name stands for value (computed once)."""
-    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
-
-
-def fold_sql(word: str, n_shifts: int, n_slots: int) -> str:
-    """SQL of the ids of ``word`` (binary), given the columns of the pair table."""
-    hashed = lambda a, b, n: f"pmod(p * {a}L + shiftright(p, 16) * {b}L, {n}L)"
-    slot = f"cast(pmod({hashed(48271, 69621, n_slots)} + get(shift, cast({hashed(40503, 10007, n_shifts)} as int)) * ({hashed(16807, 39373, n_slots)} | 1L), {n_slots}L) as int)"
-    rank = _with("cast(element_at(a, i) as bigint) * 65536L + element_at(a, i + 1)", "p", _with(slot, "s", f"if(get(key, s) = p, cast(get(value, s) as int), {ABSENT})"))
-    merged = _with("cast(array_position(r, m) as int)", "j", "concat(slice(a, 1, j - 1), array(m), slice(a, j + 2, size(a)))")
-    step = f"if(size(a) < 2, a, {_with(f'transform(sequence(1, size(a) - 1), i -> {rank})', 'r', _with('array_min(r)', 'm', f'if(m = {ABSENT}, a, {merged})'))})"
-    start = f"transform(sequence(1, octet_length({word})), i -> cast(get(byte, cast(conv(hex(substring({word}, i, 1)), 16, 10) as int)) as int))"
-    return f"if(octet_length({word}) = 0, cast(array() as array<int>), aggregate(sequence(1, greatest(1, octet_length({word}) - 1)), {start}, (a, n) -> {step}))"
-
-
-def encode_words(spark: SparkSession, words: DataFrame, ranks: dict[bytes, int], pairs: Pairs | None = None) -> DataFrame:
-    """``words`` (word binary) with their ids (array<int>): higher-order
-    functions fold the merges. A word that is a piece has its rank. The rank map is
-    one row of fixed size, which is broadcast."""
-    table = pairs or pair_table(ranks)
-    types = "k int, shift array<bigint>, key array<bigint>, value array<bigint>, byte array<bigint>"
-    row = spark.createDataFrame([(0, *(x.tolist() for x in (table.shift, table.key, table.value, table.byte)))], types)
-    whole = spark.createDataFrame(list(ranks.items()), "word binary, whole int")
-    named = words.join(F.broadcast(whole), "word", "left")
-    many = named.groupBy(F.pmod(F.xxhash64("word"), F.lit(64)).cast("int").alias("part")).agg(F.collect_set(F.struct("word", "whole")).alias("words"))
-    # Few rows but much to compute: a number of partitions that adaptive execution keeps.
-    many = many.repartition(16).withColumn("k", F.col("part") - F.col("part"))
-    fold = f"if(w.whole is null, {fold_sql('w.word', len(table.shift), len(table.key))}, array(w.whole))"
-    coded = many.join(F.broadcast(row), "k").select(F.expr(f"transform(words, w -> struct(w.word as word, {fold} as ids))").alias("coded"))
-    return coded.select(F.inline("coded"))
-
-
-# --- the fold in a worker ---------------------------------------------------------------
-
-
 def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of one word of any length: a queue of the pairs by rank and place,
     over pieces that know their neighbours."""
@@ -353,44 +429,107 @@ def chunk_text(chunk: str) -> str:
     return chunk[1:] if chunk[0] == " " else " " + chunk
 
 
-def frequent_words(spark: SparkSession, docs: DataFrame, pattern: str, ranks: dict[bytes, int], pairs: Pairs, limit: int = FREQUENT, sample: int = SAMPLE_DOCS) -> dict[str, bytes]:
-    """Word to ids (little-endian 32-bit integers) of at most ``limit`` words, the most frequent of at
-    most ``sample`` documents. What comes to the driver is bounded by ``limit``."""
-    some = docs.select("text").filter("text is not null").limit(sample)
-    counted = some.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    words = written(spark, counted.orderBy(F.desc("n"), "w").limit(limit).select(F.col("w").cast("binary").alias("word")), "frequent")
-    coded = encode_words(spark, words, ranks, pairs).collect()
-    remove(spark, words)
-    return {r.word.decode("utf-8", "surrogatepass"): np.array(r.ids, "<i4").tobytes() for r in coded}
+# --- documents --------------------------------------------------------------------------
+
+
+class Vocabulary:
+    """The pieces of a file of ranks, by bytes and by id."""
+
+    def __init__(self, path: str):
+        self.ranks = read_ranks.__wrapped__(path)
+        self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.pieces = [piece for piece, _ in sorted(self.ranks.items(), key=lambda x: x[1])]
+        self.decimal = [b"%d," % i for i in range(len(self.pieces))]
+        self.packed = [i.to_bytes(4, "little") for i in range(len(self.pieces))]
+
+    def starts(self, words: list[bytes]) -> pa.ListArray:
+        """What the folds of words begin with: the ids of the bytes, or the word's own id
+        if it is a piece."""
+        whole = list(map(self.ranks.get, words))
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        first, ids = np.cumsum(sizes) - sizes, self.byte[np.frombuffer(b"".join(words), np.uint8)]
+        keep, pieces = np.ones(len(ids), bool), [i for i, rank in enumerate(whole) if rank is not None]
+        for i in pieces:
+            keep[first[i] + 1 : first[i] + sizes[i]], ids[first[i]] = False, whole[i]
+        sizes[pieces] = 1
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(ids[keep]))
+
+
+ROWS_OF_CUT = "fresh boolean, doc_id array<{id}>, sizes array<int>, numbers array<int>, words array<array<int>>"
+
+
+class Numbers(dict):
+    """Numbers what it is asked for, in order."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = len(self)
+        return len(self) - 1
+
+
+def _cut(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    """A row for some documents: their ids, how many words each has and the numbers of
+    these; each word that is new as its fold's start. Numbers count from the last
+    ``fresh`` row."""
+    vocabulary, find = held(("bpe", path), lambda: Vocabulary(path)), regex.compile(pattern).findall
+    seen = Numbers()
+    for batch in batches:
+        for part in slices(batch, 1, ROWS, TEXT_BYTES):
+            if fresh := not seen or len(seen) > KNOWN:
+                seen = Numbers()
+            before, numbers, sizes = len(seen), array("i"), []
+            for text in part.column(1):
+                words = find(text.as_py() or "")
+                numbers.extend(map(seen.__getitem__, words))
+                sizes.append(len(words))
+            new = [w.encode("utf-8", "surrogatepass") for w in islice(seen, before, None)]
+            columns = [part.column(0), pa.array(sizes, pa.int32()), pa.array(np.frombuffer(numbers, np.int32)), vocabulary.starts(new)]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
+            yield pa.RecordBatch.from_arrays([pa.array([fresh]), *lists], ["fresh", "doc_id", "sizes", "numbers", "words"])
+    del seen
+    trim()
+
+
+def _fill(batches: Iterator[pa.RecordBatch], path: str, digests: bool) -> Iterator[pa.RecordBatch]:
+    """Documents from rows of :func:`_cut` whose words are folded. Ids become decimal
+    text and pieces, or 32-bit integers; words and documents concatenate these."""
+    vocabulary = held(("bpe", path), lambda: Vocabulary(path))
+    forms = [vocabulary.decimal, vocabulary.pieces] if digests else [vocabulary.packed]
+    words: list[list[bytes]] = [[] for _ in forms]
+    for batch in batches:
+        for k in range(batch.num_rows):
+            doc_id, sizes, numbers, folded = (c[k].values for c in batch.columns[1:])
+            if batch.column(0)[k].as_py():
+                words = [[] for _ in forms]
+            made = []
+            for form, of_word in zip(forms, words, strict=True):
+                of_word += _concat(form, folded.flatten(), folded.value_lengths())
+                made.append(_concat(of_word, numbers, sizes))
+            if digests:
+                listed, decoded = made
+                columns = [pa.array([x.count(b",") for x in listed], pa.int64()), *(pa.array([hashlib.sha256(x).hexdigest() for x in y], pa.string()) for y in ([x[:-1] for x in listed], decoded))]
+                names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+            else:
+                ends = pa.array(np.cumsum([0, *(len(x) // 4 for x in made[0])]), pa.int32())
+                columns = [pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(made[0]), "<i4")))]
+                names = ["ids"]
+            yield pa.RecordBatch.from_arrays([doc_id, *columns], ["doc_id", *names])
+    del words
+    trim()
+
+
+def _concat(values: list[bytes], numbers: pa.Array, sizes: pa.Array) -> list[bytes]:
+    """The values of ``numbers``, joined in runs of ``sizes``."""
+    each, ends = list(map(values.__getitem__, numbers.to_numpy().tolist())), np.cumsum(sizes.to_numpy()).tolist()
+    return [b"".join(each[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, digests: bool = False) -> DataFrame:
     """(doc_id, ids array<int>) for each row; with ``digests`` (doc_id, n_tokens,
     ids_sha256, decoded_sha256) in place of ids. ``path``: a file of ranks that
     every machine has."""
-    ranks = read_ranks(path)
-    pairs = pair_table(ranks)
-    shared = spark.sparkContext.broadcast((frequent_words(spark, docs, pattern, ranks, pairs), pairs))
-    id_type, call = docs.schema["doc_id"].dataType.simpleString(), uuid.uuid4().hex
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = held(("bpe", call), lambda: Coder(read_ranks.__wrapped__(path), pattern, *shared.value))
-        for batch in batches:
-            for part in slices(batch, 1, ROWS, TEXT_BYTES):
-                got = coder.packed(part.column(1).to_pylist())
-                if digests:
-                    columns = [pa.array([len(x) // 4 for x in got], pa.int64()), *_digests(coder, got)]
-                    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
-                else:
-                    ends = pa.array(np.cumsum([0, *(len(x) // 4 for x in got)]), pa.int32())
-                    columns = [pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(got), "<i4")))]
-                    names = ["ids"]
-                yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", *names])
-
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    cut = docs.select("doc_id", "text").mapInArrow(partial(_cut, path=path, pattern=pattern), ROWS_OF_CUT.format(id=id_type))
+    fold = F.expr(f"transform(words, w -> {fold_sql('w')})")
+    folded = cut.crossJoin(join_table(read_ranks(path)).row(spark)).select(*cut.columns[:-1], fold.alias("words"))
     out = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>"
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {out}")
-
-
-def _digests(coder: Coder, rows: list[bytes]) -> tuple[pa.Array, pa.Array]:
-    pairs = [tuple(hashlib.sha256(x).hexdigest() for x in coder.decimals(row)) for row in rows]
-    return pa.array([a for a, _ in pairs], pa.string()), pa.array([b for _, b in pairs], pa.string())
+    return folded.mapInArrow(partial(_fill, path=path, digests=digests), f"doc_id {id_type}, {out}")

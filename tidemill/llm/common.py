@@ -98,14 +98,15 @@ def held(key: tuple, make: Callable[[], Any]) -> Any:
     caches of stages that run one after the other don't add up in reused workers."""
     if _held[0] != key:
         _held[:] = None, None
-        _trim()
+        trim()
         _held[:] = key, make()
     return _held[1]
 
 
-def _trim() -> None:
+def trim() -> None:
     """Give freed memory back to the system, where its C library can."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
