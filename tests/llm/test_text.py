@@ -449,3 +449,13 @@ def test_long_words_by_rounds_and_forgotten_words(spark, ranks, library):
     (often, few), (once, many) = run(10), run(10_000)
     assert often > 3 and once == 1 and few == many
     assert [r["decoded_sha256"] for r in few] == [hashlib.sha256((t or "").encode()).hexdigest() for t in texts]
+
+
+def test_word_generations_of_token_files_change_nothing(tokenizer, spark, data):
+    coder = token_files.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    coder.words.limit, made = 50, []
+    coder.words.make = lambda word, make=coder.words.make: made.append(word) or make(word)
+    texts = TRICKY + ADDED + [r.text for r in queries.read(spark, data, "documents").limit(20).collect()]
+    for t, got in zip(texts * 2, coder.encode(texts * 2), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    assert len(made) > len(set(made)) and len(coder.words.old) > 50

@@ -9,11 +9,10 @@ the metadata columns alone.
 
 Documents are dealt out by ranges of their id, sorted within a range and encoded
 where they land; the number of the range is a column, so that starts come from
-one sum for each range. A text is cut before single spaces between two
-characters that aren't white space, where byte-level pre-tokenizers cut too, and
-the chunks into words by the byte-level pattern; the library's model encodes each
-distinct word, once while its chunk stays in a worker's cache. A text that holds the
-string of an added token is left to the library, which gives it that token's id.
+one sum for each range. A text is cut into words by the byte-level pattern, and the
+library's model encodes each distinct word, once while it stays in a worker's cache
+of two generations. A text that holds the string of an added token is left to the
+library, which gives it that token's id.
 
 Edge cases: a null text is empty (the end id alone); null ids come first; rows
 that share an id are ordered by a hash of their text. Extra columns are never read.
@@ -23,7 +22,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -33,13 +32,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemill.llm.bpe import Recent, chunks, code_chunks
 from tidemill.llm.common import held, new_path, slices
 
 ROW_GROUP = 32 << 20
 PAGE = 256 << 10
-CACHE_CHUNKS = 400_000
-CACHE_WORDS = 150_000
+#: Words of a generation of a worker's cache.
+CACHE_WORDS = 200_000
 #: Rows and bytes of text that are encoded at once.
 ROWS = 256
 TEXT_BYTES = 4 << 20
@@ -57,12 +55,31 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
 
 
+class Words(dict):
+    """Word to ids, made when asked for and kept for one or two generations."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if (ids := self.old.get(word)) is None:
+            ids = self.make(word)
+        self[word] = ids
+        return ids
+
+    def turn(self) -> None:
+        """Begins another generation if this one is full."""
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+
+
 class ChunkEncoder:
-    """A text's ids, as the tokenizers library gives them. A text is cut before single
-    spaces, each distinct chunk into words, and the library's model encodes each
-    distinct word, once while its chunk is cached. Texts that hold the string of an
-    added token, and those of files of other kinds, are encoded by the library as
-    they are."""
+    """A text's ids, as the tokenizers library gives them. A text is cut into words and
+    the library's model encodes each distinct word, once while it is cached. Texts
+    that hold the string of an added token, and those of files of other kinds, are
+    encoded by the library as they are."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
@@ -70,8 +87,7 @@ class ChunkEncoder:
         self.by_chunk = steps.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in steps and self.library.normalizer is None
         self.added = sorted(t.content for t in self.library.get_added_tokens_decoder().values())
         self.letters, self.find, self.model = byte_letters(), regex.compile(PATTERN).findall, self.library.model
-        self.words = Recent(lambda words: zip(words, map(self._word, words), strict=True), CACHE_WORDS)
-        self.chunks = Recent(lambda texts: code_chunks(texts, self.find, self._encode_words), CACHE_CHUNKS)
+        self.words = Words(self._word, CACHE_WORDS)
 
     def _word(self, word: str) -> bytes:
         space, body = ("Ġ", word[1:]) if word[0] == " " else ("", word)
@@ -79,18 +95,14 @@ class ChunkEncoder:
             body = body.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(space + body)]).tobytes()
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        have = self.words.having(set(words))
-        return list(map(have.__getitem__, words))
+    def _text(self, text: str) -> bytes:
+        if not self.by_chunk or any(a in text for a in self.added):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self.words.turn()
+        return b"".join(map(self.words.__getitem__, self.find(text)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        whole = [bool(t) and (not self.by_chunk or any(a in t for a in self.added)) for t in texts]
-        parts = [chunks(t) if t and not x else [] for t, x in zip(texts, whole, strict=True)]
-        have = self.chunks.having(set().union(*parts))
-        return [
-            np.array(self.library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if x else b"".join(map(have.__getitem__, p))
-            for t, x, p in zip(texts, whole, parts, strict=True)
-        ]
+        return [self._text(t) if t else b"" for t in texts]
 
 
 def _lists(rows: list[bytes]) -> pa.ListArray:
