@@ -459,3 +459,41 @@ def test_word_generations_of_token_files_change_nothing(tokenizer, spark, data):
     for t, got in zip(texts * 2, coder.encode(texts * 2), strict=True):
         assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
     assert len(made) > len(set(made)) and len(coder.words.old) > 50
+
+
+# --- words of many texts at once --------------------------------------------------------
+
+
+def test_words_of_many_texts_are_the_matches_of_the_pattern():
+    import pyarrow as pa
+    import regex
+
+    from tidemill.llm import words
+
+    find = regex.compile(words.PATTERN).findall
+    rng = np.random.default_rng(3)
+    letters = [*"abstredvlm'''  \n\t é日1²½,.!\"\x1c\x85 😀́٣Ⅷ", "'s", "'re", "'ll", "'ve", "'t", "'d", "'m", " '"]
+    for k in range(400):
+        some = letters[:17] if k % 2 else letters
+        texts = [None if n == 0 else "".join(rng.choice(some, n - 1)) for n in rng.integers(0, 25, k % 9)] + (TRICKY + ADDED) * (k == 0)
+        for start in (0, len(texts) // 2):
+            got, sizes = words.cut(pa.array(texts, pa.string()).slice(start))
+            want = [find(t or "") for t in texts[start:]]
+            assert got.to_pylist() == [w.encode() for found in want for w in found]
+            assert sizes.tolist() == [len(found) for found in want]
+    assert words.PATTERN == public_tokenizers.PATTERN
+
+
+def test_token_files_look_each_distinct_word_up_once(tokenizer):
+    coder, asked = token_files.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json")), []
+
+    class Asked(token_files.Words):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    coder.words = Asked(coder.words.make, coder.words.limit)
+    texts = ["the same few words, " * 300, None, "few <|endoftext|> the", ""] * 20
+    for t, got in zip(texts, coder.encode(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids
+    assert 0 < len(asked) == len(set(asked)) < 10

@@ -9,10 +9,10 @@ the metadata columns alone.
 
 Documents are dealt out by ranges of their id, sorted within a range and encoded
 where they land; the number of the range is a column, so that starts come from
-one sum for each range. A text is cut into words by the byte-level pattern, and the
-library's model encodes each distinct word, once while it stays in a worker's cache
-of two generations. A text that holds the string of an added token is left to the
-library, which gives it that token's id.
+one sum for each range. Some hundred texts at once are cut into words by the byte-level
+pattern, and the library's model encodes each distinct word, once while it stays in a
+worker's cache of two generations. A text that holds the string of an added token is
+left to the library, which gives it that token's id.
 
 Edge cases: a null text is empty (the end id alone); null ids come first; rows
 that share an id are ordered by a hash of their text. Extra columns are never read.
@@ -27,12 +27,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemill.llm.common import held, new_path, slices
+from tidemill.llm.words import binaries, cut, distinct, taken
 
 ROW_GROUP = 32 << 20
 PAGE = 256 << 10
@@ -43,10 +44,6 @@ ROWS = 256
 TEXT_BYTES = 4 << 20
 
 
-# The pattern that cuts text into words before byte-level merges.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
-
 def byte_letters() -> dict[int, str]:
     """The letters that stand for bytes in byte-level vocabularies: printable Latin-1
     characters for themselves, the other bytes in order from U+0100 on."""
@@ -58,11 +55,11 @@ def byte_letters() -> dict[int, str]:
 class Words(dict):
     """Word to ids, made when asked for and kept for one or two generations."""
 
-    def __init__(self, make: Callable[[str], bytes], limit: int):
+    def __init__(self, make: Callable[[bytes], bytes], limit: int):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: bytes) -> bytes:
         if (ids := self.old.get(word)) is None:
             ids = self.make(word)
         self[word] = ids
@@ -76,49 +73,69 @@ class Words(dict):
 
 
 class ChunkEncoder:
-    """A text's ids, as the tokenizers library gives them. A text is cut into words and
-    the library's model encodes each distinct word, once while it is cached. Texts
-    that hold the string of an added token, and those of files of other kinds, are
-    encoded by the library as they are."""
+    """Texts' ids, as the tokenizers library gives them. Texts are cut into words
+    together and the library's model encodes each distinct word, once while it is
+    cached. Texts that hold the string of an added token, and those of files of other
+    kinds, are encoded by the library as they are."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         steps = str(self.library.pre_tokenizer)
         self.by_chunk = steps.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in steps and self.library.normalizer is None
         self.added = sorted(t.content for t in self.library.get_added_tokens_decoder().values())
-        self.letters, self.find, self.model = byte_letters(), regex.compile(PATTERN).findall, self.library.model
+        self.letters, self.model = byte_letters(), self.library.model
         self.words = Words(self._word, CACHE_WORDS)
 
-    def _word(self, word: str) -> bytes:
-        space, body = ("Ġ", word[1:]) if word[0] == " " else ("", word)
-        if not (body.isascii() and body.isalnum()):  # these letters stand for themselves
-            body = body.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.model.tokenize(space + body)]).tobytes()
-
-    def _text(self, text: str) -> bytes:
-        if not self.by_chunk or any(a in text for a in self.added):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _word(self, word: bytes) -> bytes:
+        space, body = ("Ġ", word[1:]) if word[:1] == b" " else ("", word)
+        # ASCII letters and digits stand for themselves.
+        letters = body.decode() if body.isalnum() else body.decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(space + letters)]).tobytes()
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def slices(self, batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+        """Parts of a batch whose words don't outnumber a generation by far."""
+        return slices(batch, column, ROWS, min(TEXT_BYTES, 20 * self.words.limit))
+
+    def packed(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one behind the other, and where each text's end."""
+        whole = np.full(len(texts), not self.by_chunk)
+        for added in self.added:
+            whole |= pc.fill_null(pc.match_substring(texts, added), False).to_numpy(zero_copy_only=False)
+        words, sizes = cut(pc.if_else(pa.array(whole), "", texts) if whole.any() else texts)
         self.words.turn()
-        return b"".join(map(self.words.__getitem__, self.find(text)))
+        names, at = distinct(words)
+        known = list(map(self.words.__getitem__, names))
+        data, offsets = taken(binaries(b"".join(known), np.cumsum([0, *map(len, known)])), at)
+        ids, ends = np.frombuffer(data, "<u4", int(offsets[-1]) // 4), offsets[np.cumsum(sizes)] // 4
+        if whole.any():
+            each = np.split(ids, ends[:-1])
+            for i in np.flatnonzero(whole):
+                each[i] = self._whole(texts[int(i)].as_py() or "")
+            ids, ends = np.concatenate(each), np.cumsum([len(x) for x in each])
+        return ids, ends
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        return [self._text(t) if t else b"" for t in texts]
-
-
-def _lists(rows: list[bytes]) -> pa.ListArray:
-    ends = np.cumsum([0, *(len(r) // 4 for r in rows)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(rows), dtype="<i4")))
+        out = []
+        for part in self.slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), 0):
+            ids, ends = self.packed(part.column(0))
+            out += [x.tobytes() for x in np.split(ids, ends[:-1])]
+        return out
 
 
 def _encode_part(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder, end, start = held(("token files", path), lambda: ChunkEncoder(path)), np.array([end_id], "<u4").tobytes(), 0
+    encoder, start = held(("token files", path), lambda: ChunkEncoder(path)), 0
     for batch in batches:
-        for part in slices(batch, batch.schema.get_field_index("text"), ROWS, TEXT_BYTES):
-            rows = [ids + end for ids in encoder.encode(part.column("text").to_pylist())]
-            n = np.array([len(r) // 4 for r in rows], dtype=np.int64)
-            starts = start + np.cumsum(n) - n
-            start += int(n.sum())
-            yield pa.RecordBatch.from_arrays([part.column("part"), part.column("doc_id"), pa.array(starts), pa.array(n), _lists(rows)], ["part", "doc_id", "part_start", "n_tokens", "ids"])
+        for part in encoder.slices(batch, batch.schema.get_field_index("text")):
+            ids, ends = encoder.packed(part.column("text"))
+            ids = np.insert(ids, ends, end_id)
+            ends = ends + np.arange(1, len(ends) + 1)
+            n = np.diff(ends, prepend=0)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids.view("<i4")))
+            yield pa.RecordBatch.from_arrays([part.column("part"), part.column("doc_id"), pa.array(start + ends - n), pa.array(n), lists], ["part", "doc_id", "part_start", "n_tokens", "ids"])
+            start += len(ids)
 
 
 def write(spark: SparkSession, docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = 0, parts: int | None = None) -> str:
