@@ -497,3 +497,25 @@ def test_token_files_look_each_distinct_word_up_once(tokenizer):
     for t, got in zip(texts, coder.encode(texts), strict=True):
         assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids
     assert 0 < len(asked) == len(set(asked)) < 10
+
+
+def test_bpe_asks_for_the_number_of_each_distinct_word_once(monkeypatch, library):
+    import pyarrow as pa
+
+    asked = []
+
+    class Asked(bpe.Numbers):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    monkeypatch.setattr(bpe, "Numbers", Asked)
+    texts = ["the same few words, " * 300, None, "it's the  same", ""] * 20
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    cut = list(bpe._cut(iter([batch]), path, public_tokenizers.PATTERN))
+    assert 0 < len(asked) == len(set(asked)) < 12
+    rows = [r for b in bpe._fill(iter(cut), path, True) for r in b.to_pylist()]
+    assert [r["decoded_sha256"] for r in rows] == [hashlib.sha256((t or "").encode()).hexdigest() for t in texts]
+    whole = [library.encode_ordinary(t or "") for t in texts]  # all these words are pieces
+    assert [(r["n_tokens"], r["ids_sha256"]) for r in rows] == [(len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()) for ids in whole]

@@ -28,11 +28,9 @@ import base64
 import hashlib
 import heapq
 import re
-from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache, partial
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import held, slices, trim
+from tidemill.llm.words import binaries, cut, distinct, taken
 
 #: Distinct words that a task of :func:`encode` remembers.
 KNOWN = 400_000
@@ -438,9 +437,9 @@ class Vocabulary:
     def __init__(self, path: str):
         self.ranks = read_ranks.__wrapped__(path)
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.pieces = [piece for piece, _ in sorted(self.ranks.items(), key=lambda x: x[1])]
-        self.decimal = [b"%d," % i for i in range(len(self.pieces))]
-        self.packed = [i.to_bytes(4, "little") for i in range(len(self.pieces))]
+        pieces = [piece for piece, _ in sorted(self.ranks.items(), key=lambda x: x[1])]
+        self.pieces = pa.array(pieces, pa.large_binary())
+        self.decimal = pa.array([b"%d," % i for i in range(len(pieces))], pa.large_binary())
 
     def starts(self, words: list[bytes]) -> pa.ListArray:
         """What the folds of words begin with: the ids of the bytes, or the word's own id
@@ -461,7 +460,7 @@ ROWS_OF_CUT = "fresh boolean, doc_id array<{id}>, sizes array<int>, numbers arra
 class Numbers(dict):
     """Numbers what it is asked for, in order."""
 
-    def __missing__(self, key: str) -> int:
+    def __missing__(self, key: bytes) -> int:
         self[key] = len(self)
         return len(self) - 1
 
@@ -470,19 +469,18 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator
     """A row for some documents: their ids, how many words each has and the numbers of
     these; each word that is new as its fold's start. Numbers count from the last
     ``fresh`` row."""
-    vocabulary, find = held(("bpe", path), lambda: Vocabulary(path)), regex.compile(pattern).findall
+    vocabulary = held(("bpe", path), lambda: Vocabulary(path))
     seen = Numbers()
     for batch in batches:
         for part in slices(batch, 1, ROWS, TEXT_BYTES):
             if fresh := not seen or len(seen) > KNOWN:
                 seen = Numbers()
-            before, numbers, sizes = len(seen), array("i"), []
-            for text in part.column(1):
-                words = find(text.as_py() or "")
-                numbers.extend(map(seen.__getitem__, words))
-                sizes.append(len(words))
-            new = [w.encode("utf-8", "surrogatepass") for w in islice(seen, before, None)]
-            columns = [part.column(0), pa.array(sizes, pa.int32()), pa.array(np.frombuffer(numbers, np.int32)), vocabulary.starts(new)]
+            before = len(seen)
+            words, sizes = cut(part.column(1), pattern)
+            names, at = distinct(words)
+            number = np.fromiter(map(seen.__getitem__, names), np.int32, len(names))
+            new = [names[i] for i in np.flatnonzero(number >= before).tolist()]
+            columns = [part.column(0), pa.array(sizes, pa.int32()), pa.array(number[at]), vocabulary.starts(new)]
             lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
             yield pa.RecordBatch.from_arrays([pa.array([fresh]), *lists], ["fresh", "doc_id", "sizes", "numbers", "words"])
     del seen
@@ -493,34 +491,45 @@ def _fill(batches: Iterator[pa.RecordBatch], path: str, digests: bool) -> Iterat
     """Documents from rows of :func:`_cut` whose words are folded. Ids become decimal
     text and pieces, or 32-bit integers; words and documents concatenate these."""
     vocabulary = held(("bpe", path), lambda: Vocabulary(path))
-    forms = [vocabulary.decimal, vocabulary.pieces] if digests else [vocabulary.packed]
-    words: list[list[bytes]] = [[] for _ in forms]
+    forms = [vocabulary.decimal, vocabulary.pieces] if digests else [None]
+    counts, words = np.zeros(0, np.int64), [pa.array([], pa.large_binary()) for _ in forms]
     for batch in batches:
         for k in range(batch.num_rows):
             doc_id, sizes, numbers, folded = (c[k].values for c in batch.columns[1:])
             if batch.column(0)[k].as_py():
-                words = [[] for _ in forms]
-            made = []
-            for form, of_word in zip(forms, words, strict=True):
-                of_word += _concat(form, folded.flatten(), folded.value_lengths())
-                made.append(_concat(of_word, numbers, sizes))
+                counts, words = counts[:0], [w[:0] for w in words]
+            ids, n = folded.flatten(), folded.value_lengths().to_numpy()
+            counts, ends = np.append(counts, n), np.append(0, np.cumsum(n, dtype=np.int64))
+            words = [pa.concat_arrays([w, _joined_values(form, ids, ends)]) for form, w in zip(forms, words, strict=True)]
+            stops = np.append(0, np.cumsum(sizes.to_numpy(), dtype=np.int64))
+            lengths = np.append(0, np.cumsum(counts[numbers.to_numpy()]))[stops]
             if digests:
-                listed, decoded = made
-                columns = [pa.array([x.count(b",") for x in listed], pa.int64()), *(pa.array([hashlib.sha256(x).hexdigest() for x in y], pa.string()) for y in ([x[:-1] for x in listed], decoded))]
+                # Each id ends with a comma, the last one's isn't digested.
+                columns = [pa.array(np.diff(lengths)), *(_sha256(w, numbers, stops, last) for w, last in zip(words, (1, 0), strict=True))]
                 names = ["n_tokens", "ids_sha256", "decoded_sha256"]
             else:
-                ends = pa.array(np.cumsum([0, *(len(x) // 4 for x in made[0])]), pa.int32())
-                columns = [pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(made[0]), "<i4")))]
+                data, offsets = taken(words[0], numbers)
+                columns = [pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.frombuffer(data, "<i4", int(offsets[-1]) // 4)))]
                 names = ["ids"]
             yield pa.RecordBatch.from_arrays([doc_id, *columns], ["doc_id", *names])
     del words
     trim()
 
 
-def _concat(values: list[bytes], numbers: pa.Array, sizes: pa.Array) -> list[bytes]:
-    """The values of ``numbers``, joined in runs of ``sizes``."""
-    each, ends = list(map(values.__getitem__, numbers.to_numpy().tolist())), np.cumsum(sizes.to_numpy()).tolist()
-    return [b"".join(each[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+def _joined_values(form: pa.LargeBinaryArray | None, ids: pa.Array, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """The forms of ``ids``, or without one their 32 bits, joined up to each of ``ends``."""
+    if form is None:
+        return binaries(ids.to_numpy(), ends * 4)
+    data, offsets = taken(form, ids)
+    return binaries(data, offsets[ends])
+
+
+def _sha256(values: pa.LargeBinaryArray, numbers: pa.Array, stops: np.ndarray, last: int) -> pa.Array:
+    """Digests of the values of ``numbers``, joined up to each of ``stops``, without the
+    ``last`` bytes."""
+    data, offsets = taken(values, numbers)
+    data, ends = memoryview(data), offsets[stops].tolist()
+    return pa.array([hashlib.sha256(data[a : max(a, b - last)]).hexdigest() for a, b in zip(ends, ends[1:], strict=False)], pa.string())
 
 
 def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, digests: bool = False) -> DataFrame:
